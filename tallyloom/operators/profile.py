@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.quantiles import exact_quantiles
@@ -33,7 +33,11 @@ def profile(df: DataFrame, value: str) -> DataFrame:
 
 
 def group_profile(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
-    return moments(df, value, by).join(exact_quantiles(df, value, QUARTILES, by), list(by), "left")
+    """:func:`moments` and the exact quartiles per group; a null group counts as one."""
+    left = moments(df, value, by).alias("m")
+    right = exact_quantiles(df, value, QUARTILES, by).alias("q")
+    same_group = [F.col(f"m.{c}").eqNullSafe(F.col(f"q.{c}")) for c in by]
+    return left.join(right, same_group, "left").select("m.*", "q.p25", "q.p50", "q.p75")
 
 
 def outliers(df: DataFrame, value: str, k: float = 1.5) -> DataFrame:
@@ -76,8 +80,13 @@ def histogram(df: DataFrame, value: str, width: float, by: Sequence[str] = ()) -
 
 
 def crosstab(
-    df: DataFrame, row: str, column: str, values: Sequence[str], measure: Column
+    df: DataFrame, row: str, column: str, values: Sequence[str], weight: str
 ) -> DataFrame:
-    """``measure`` by ``row`` and ``column``; the column values are listed, so no
-    extra job has to find them."""
-    return df.groupBy(row).pivot(column, list(values)).agg(measure)
+    """Sum of ``weight`` by ``row`` and ``column``.
+
+    The column values are listed, so no extra job has to find them; what is not
+    in the list is summed under ``other``.
+    """
+    listed = F.when(F.col(column).isin(list(values)), F.col(column)).otherwise("other")
+    wide = df.withColumn("_column", listed).groupBy(row).pivot("_column", [*values, "other"])
+    return wide.agg(F.sum(weight)).fillna(0, [*values, "other"])

@@ -31,23 +31,55 @@ def count_violations(df: DataFrame, rules: Rules) -> DataFrame:
     return counts.select("n_checked", F.inline(pairs)).select("rule", "n_checked", "n_violations")
 
 
-def count_orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str, rule: str) -> DataFrame:
-    """Rows of ``child`` whose ``key`` has no row in ``parent``, null keys included.
-
-    The child is counted per key first, so a key held by much of the table
-    reaches the join as one row.
+def check_reference(
+    child: DataFrame,
+    key: str,
+    parent: DataFrame,
+    parent_key: str,
+    has_parent: str,
+    has_child: str | None = None,
+    unique: str | None = None,
+) -> DataFrame:
+    """Violations of up to three rules about one reference from child to parent.
+
+    ``has_parent``: child rows whose key no parent has (a null key included);
+    ``has_child``: parent rows no child refers to; ``unique``: parent rows
+    beyond the first under a key.
+
+    Both sides are counted per key before they meet, so a key held by much of
+    either table is one row in the join, and the join reuses the partitioning
+    of the counts. One scan and one shuffle of each side serve all three rules.
     """
-    per_key = child.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-    known = parent.select(F.col(parent_key).alias("_key"), F.lit(1).alias("_known"))
+    children = child.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    parents = parent.groupBy(F.col(parent_key).alias("_key")).agg(F.count(F.lit(1)).alias("_m"))
+
+    def total(rows: Column) -> Column:
+        return F.coalesce(F.sum(rows), F.lit(0))
+
+    rules = [
+        (has_parent, "_n", F.when(F.col("_m").isNull(), F.col("_n"))),
+        (has_child, "_m", F.when(F.col("_n").isNull(), F.col("_m"))),
+        (unique, "_m", F.col("_m") - 1),
+    ]
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(rule).alias("rule"),
+                F.col(f"all{checked}").alias("n_checked"),
+                F.col(f"v{i}").alias("n_violations"),
+            )
+            for i, (rule, checked, _) in enumerate(rules)
+            if rule
+        ]
+    )
     return (
-        per_key.join(known.distinct(), "_key", "left")
+        children.join(parents, "_key", "full")
         .agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("n_checked"),
-            F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), F.lit(0)).alias(
-                "n_violations"
-            ),
+            total(F.col("_n")).alias("all_n"),
+            total(F.col("_m")).alias("all_m"),
+            *[total(broken).alias(f"v{i}") for i, (_, _, broken) in enumerate(rules)],
         )
-        .select(F.lit(rule).alias("rule"), "n_checked", "n_violations")
+        .select(F.inline(rows))
     )
 
 

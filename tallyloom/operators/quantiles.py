@@ -24,12 +24,13 @@ from pyspark.sql import functions as F
 
 from tallyloom.sources.scratch import written
 
-# Rows a single task may order or hold for one group.
-GROUP_LIMIT = 1_000_000
+# Rows, or distinct values, that one task may hold for one group.
+GROUP_LIMIT = 100_000
 # Rank error of the marks is 1/ACCURACY; brackets are twice that to each side.
 ACCURACY = 5_000
+# Parts a slot is cut into when it lists too many values.
 CUTS = 64
-# Rows of the per-group table up to which it is sent to every task.
+# Rows of a per-group table up to which it is sent to every task.
 BROADCAST_ROWS = 20_000
 
 
@@ -44,47 +45,66 @@ def exact_quantiles(
     by: Sequence[str] = (),
     limit: int = GROUP_LIMIT,
 ) -> DataFrame:
-    """One row per group: ``by`` columns and one column per quantile (p25, p50, ...)."""
-    by = list(by)
-    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0]
-    if largest is None or largest <= limit:
-        return rows.groupBy(*by).agg(
-            *[F.percentile("_v", p).alias(quantile_name(p)) for p in probs]
-        )
-    return _narrowed(rows, probs, by, limit)
-
+    """One row per group: ``by`` columns and one column per quantile (p25, p50, ...).
 
-def _narrowed(rows: DataFrame, probs: Sequence[float], by: list[str], limit: int) -> DataFrame:
-    keys = by or ["_all"]
+    Null values are left out; a null group is a group.
+    """
+    # One struct as key: unlike its fields it is never null, so it also joins.
+    key = F.struct(*by) if by else F.struct(F.lit(0).alias("_all"))
+    rows = df.where(F.col(value).isNotNull()).select(
+        key.alias("_key"), F.col(value).cast("double").alias("_v")
+    )
+    sizes = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
     if not by:
-        rows = rows.withColumn("_all", F.lit(0))
+        large = (sizes.first() or {"_n": 0})["_n"] > limit
+        result = _narrowed(rows, probs, limit, grouped=False) if large else _buffered(rows, probs)
+        return result.drop("_key")
+
+    hot = written(sizes.where(F.col("_n") > limit).select("_key"), "quantile-hot-groups")
+    n_hot = hot.count()
+    if n_hot:
+        hot = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
+        in_small = rows.join(hot, "_key", "left_anti")
+        in_hot = rows.join(hot, "_key", "left_semi")
+        result = _buffered(in_small, probs).unionByName(_narrowed(in_hot, probs, limit))
+    else:
+        result = _buffered(rows, probs)
+    return result.select("_key.*", *[quantile_name(p) for p in probs])
+
+
+def _buffered(rows: DataFrame, probs: Sequence[float]) -> DataFrame:
+    values = F.percentile("_v", [float(p) for p in probs]).alias("_q")
+    return rows.groupBy("_key").agg(values).select(
+        "_key", *[F.col("_q")[i].alias(quantile_name(p)) for i, p in enumerate(probs)]
+    )
+
 
+def _narrowed(
+    rows: DataFrame, probs: Sequence[float], limit: int, grouped: bool = True
+) -> DataFrame:
     edge = 2 / ACCURACY
     brackets = [(max(p - edge, 0.0), min(p + edge, 1.0)) for p in probs]
     grid = sorted({mark for bracket in brackets for mark in bracket})
     marks = written(
-        rows.groupBy(*keys).agg(
+        rows.groupBy("_key").agg(
             F.count(F.lit(1)).alias("_n"),
             F.percentile_approx("_v", grid, ACCURACY).alias("_marks"),
         ),
         "quantile-marks",
     )
 
-    marked = _attach(rows, marks, by).withColumn("_slot", _slot_of(F.col("_marks"), len(grid)))
+    marked = _with_marks(rows, marks, grouped).withColumn("_slot", _slot_of(len(grid)))
     inside = F.lit(False)
     for low, high in brackets:
         inside |= F.col("_v").between(
             F.col("_marks")[grid.index(low)], F.col("_marks")[grid.index(high)]
         )
+    keys = ["_key", "_slot"]
     weights = written(
-        _weighed(marked.withColumn("_v", F.when(inside, F.col("_v"))), [*keys, "_slot"]),
-        "quantile-slots",
+        _weighed(marked.withColumn("_v", F.when(inside, F.col("_v"))), keys), "quantile-slots"
     )
 
-    located = _locate(_ranks(marks, keys, probs), weights, keys, "_slot")
-    keys.append("_slot")
+    located = _locate(_ranks(marks, probs), weights, ["_key"], "_slot")
     missed = located.where("_r >= _listed").select(*keys).distinct()
     if not missed.isEmpty():
         missed = written(missed, "quantile-missed")
@@ -92,41 +112,39 @@ def _narrowed(rows: DataFrame, probs: Sequence[float], by: list[str], limit: int
         weights = written(
             weights.join(missed, keys, "left_anti").unionByName(listed), "quantile-slots"
         )
+        located = _locate(_ranks(marks, probs), weights, ["_key"], "_slot")
 
     weights, located, keys = _cut_down(weights, located, keys, limit)
 
     running = Window.partitionBy(*keys).orderBy("_v")
-    ordered = (
-        weights.join(located.select(*keys).distinct(), keys, "left_semi")
-        .withColumn("_upto", F.sum("_w").over(running))
-    )
+    ordered = _held(weights, located, keys).withColumn("_upto", F.sum("_w").over(running))
     picked = ordered.join(located, keys).where("_r < _upto and _r >= _upto - _w")
-    return _interpolated(picked, probs, by)
+    return _interpolated(picked, probs)
 
 
-def _slot_of(marks: Column, n: int) -> Column:
-    """How many marks are at or below the value. Written out, so it stays in codegen."""
-    slot = F.lit(0)
-    for i in range(n):
-        slot += F.when(F.col("_v") >= marks[i], 1).otherwise(0)
-    return slot
-
-
-def _attach(rows: DataFrame, marks: DataFrame, by: list[str]) -> DataFrame:
-    if not by:
+def _with_marks(rows: DataFrame, marks: DataFrame, grouped: bool) -> DataFrame:
+    if not grouped:
         values = marks.first()["_marks"]
         return rows.withColumn("_marks", F.array(*[F.lit(v) for v in values]))
-    side = marks.select(*by, "_marks")
+    side = marks.select("_key", "_marks")
     if marks.count() <= BROADCAST_ROWS:
         side = F.broadcast(side)
-    return rows.join(side, by)
+    return rows.join(side, "_key")
+
+
+def _slot_of(n: int) -> Column:
+    """How many marks are at or below the value. Written out, so it stays in codegen."""
+    slot = F.lit(0)
+    for i in range(n):
+        slot += F.when(F.col("_v") >= F.col("_marks")[i], 1).otherwise(0)
+    return slot
 
 
 def _weighed(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_w"))
 
 
-def _ranks(marks: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+def _ranks(marks: DataFrame, probs: Sequence[float]) -> DataFrame:
     """The two 0-based ranks each quantile lies between, and where between them."""
     wanted = []
     for i, p in enumerate(probs):
@@ -140,7 +158,7 @@ def _ranks(marks: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFra
                     (position - F.floor(position)).alias("_part"),
                 )
             )
-    return marks.select(*keys, F.inline(F.array(*wanted)))
+    return marks.select("_key", F.inline(F.array(*wanted)))
 
 
 def _locate(ranks: DataFrame, weights: DataFrame, parents: list[str], slot: str) -> DataFrame:
@@ -167,6 +185,13 @@ def _locate(ranks: DataFrame, weights: DataFrame, parents: list[str], slot: str)
     )
 
 
+def _held(weights: DataFrame, located: DataFrame, keys: list[str]) -> DataFrame:
+    """The listed values of the slots that hold a rank. What a slot does not list
+    lies above all it lists, and no rank is left there."""
+    listed = weights.where(F.col("_v").isNotNull())
+    return listed.join(located.select(*keys).distinct(), keys, "left_semi")
+
+
 def _cut_down(
     weights: DataFrame, located: DataFrame, keys: list[str], limit: int
 ) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -174,7 +199,7 @@ def _cut_down(
     most = located.agg(F.max("_distinct")).first()[0]
     while most > limit:
         located = written(located, "quantile-ranks")
-        held = weights.join(located.select(*keys).distinct(), keys, "left_semi")
+        held = _held(weights, located, keys)
         cuts = held.groupBy(*keys).agg(
             F.percentile_approx("_v", [i / CUTS for i in range(1, CUTS)], 1000).alias("_cuts")
         )
@@ -192,14 +217,14 @@ def _cut_down(
     return weights, located, keys
 
 
-def _interpolated(picked: DataFrame, probs: Sequence[float], by: list[str]) -> DataFrame:
+def _interpolated(picked: DataFrame, probs: Sequence[float]) -> DataFrame:
     def at(i: int, end: int) -> Column:
         return F.max(F.when((F.col("_q") == i) & (F.col("_end") == end), F.col("_v")))
 
     def part(i: int) -> Column:
         return F.max(F.when(F.col("_q") == i, F.col("_part")))
 
-    return picked.groupBy(*by).agg(
+    return picked.groupBy("_key").agg(
         *[
             ((1 - part(i)) * at(i, 0) + part(i) * at(i, 1)).alias(quantile_name(p))
             for i, p in enumerate(probs)

@@ -39,10 +39,14 @@ def enriched_lines(
     nation: DataFrame,
     region: DataFrame,
 ) -> DataFrame:
-    """Every order line with its order, customer, part, nation and region."""
-    return (
-        lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
-        .join(customer, orders.o_custkey == customer.c_custkey)
-        .join(places(nation, region), customer.c_nationkey == F.col("n_nationkey"))
-        .join(part, lineitem.l_partkey == part.p_partkey)
+    """Every order line with its order, customer, part, nation and region.
+
+    Orders, customers and places are joined first: the lines, the largest table
+    by far, are then shuffled for two joins rather than three.
+    """
+    placed_orders = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
+        places(nation, region), customer.c_nationkey == F.col("n_nationkey")
+    )
+    return lineitem.join(placed_orders, lineitem.l_orderkey == F.col("o_orderkey")).join(
+        part, lineitem.l_partkey == part.p_partkey
     )

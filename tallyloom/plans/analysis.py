@@ -10,7 +10,8 @@ from tallyloom.operators import profile, ranking, trends
 from tallyloom.plans.query import Query
 from tallyloom.sources.tables import read_table
 
-# The columns of the cross-tabulation.
+# The rows and columns of the cross-tabulation.
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -86,25 +87,42 @@ FROM events GROUP BY 1, 2
 
 
 def priority_by_segment(spark: SparkSession, root: str) -> DataFrame:
-    """Orders per priority and customer segment.
+    """Orders per priority and customer segment; values not listed count as ``other``.
 
-    Orders reach the join as one row per customer and priority, so a customer
-    with much of the orders is a handful of rows there.
+    Orders reach the join as one row per customer with a count per priority: a
+    customer with much of the orders is one row, and the join reuses the
+    partitioning by customer.
     """
     orders = read_table(spark, root, "orders")
     customer = read_table(spark, root, "customer")
-    counted = orders.groupBy("o_custkey", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
-    joined = counted.join(customer, counted.o_custkey == customer.c_custkey)
-    return profile.crosstab(
-        joined, "o_orderpriority", "c_mktsegment", SEGMENTS, F.coalesce(F.sum("n"), F.lit(0))
+    is_priority = {p: F.col("o_orderpriority") == p for p in PRIORITIES}
+    is_priority["other"] = ~F.coalesce(F.col("o_orderpriority").isin(PRIORITIES), F.lit(False))
+    per_customer = orders.groupBy("o_custkey").agg(
+        *[F.count_if(c).alias(p) for p, c in is_priority.items()]
     )
-
-
-PRIORITY_BY_SEGMENT_SQL = (
-    "SELECT o_orderpriority, "
-    + ", ".join(f"count(*) FILTER (WHERE c_mktsegment = '{s}') AS {s}" for s in SEGMENTS)
-    + " FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1"
-)
+    per_segment = (
+        per_customer.join(customer, per_customer.o_custkey == customer.c_custkey)
+        .groupBy("c_mktsegment")
+        .agg(*[F.sum(f"`{p}`").alias(p) for p in is_priority])
+        .unpivot(
+            "c_mktsegment", [F.col(f"`{p}`") for p in is_priority], "o_orderpriority", "n"
+        )
+        .where("n > 0")
+    )
+    return profile.crosstab(per_segment, "o_orderpriority", "c_mktsegment", SEGMENTS, "n")
+
+
+PRIORITY_BY_SEGMENT_SQL = f"""
+WITH j AS (SELECT c_mktsegment,
+             CASE WHEN o_orderpriority IN ({", ".join(f"'{p}'" for p in PRIORITIES)})
+                  THEN o_orderpriority ELSE 'other' END AS o_orderpriority
+           FROM orders JOIN customer ON o_custkey = c_custkey)
+SELECT o_orderpriority,
+       {", ".join(f"count(*) FILTER (WHERE c_mktsegment = '{s}') AS {s}" for s in SEGMENTS)},
+       count(*) FILTER (WHERE c_mktsegment IS NULL OR c_mktsegment NOT IN
+         ({", ".join(f"'{s}'" for s in SEGMENTS)})) AS other
+FROM j GROUP BY 1
+"""
 
 
 def monthly_orders(spark: SparkSession, root: str) -> DataFrame:

@@ -137,11 +137,19 @@ def rule_violations(spark: SparkSession, root: str) -> DataFrame:
             quality.count_violations(customer, customer_rules()),
             quality.count_violations(orders, order_rules()),
             quality.count_violations(lineitem, line_rules()),
-            quality.count_orphans(orders, "o_custkey", customer, "c_custkey", "order has customer"),
-            quality.count_orphans(lineitem, "l_orderkey", orders, "o_orderkey", "line has order"),
-            quality.count_orphans(lineitem, "l_partkey", part, "p_partkey", "line has part"),
-            quality.count_orphans(orders, "o_orderkey", lineitem, "l_orderkey", "order has lines"),
-            quality.count_repeats(orders, ["o_orderkey"], "order key unique"),
+            quality.check_reference(
+                orders, "o_custkey", customer, "c_custkey", "order has customer"
+            ),
+            quality.check_reference(
+                lineitem,
+                "l_orderkey",
+                orders,
+                "o_orderkey",
+                "line has order",
+                has_child="order has lines",
+                unique="order key unique",
+            ),
+            quality.check_reference(lineitem, "l_partkey", part, "p_partkey", "line has part"),
             quality.count_repeats(lineitem, ["l_orderkey", "l_linenumber"], "line number unique"),
         ]
     )
