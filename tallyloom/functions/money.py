@@ -1,25 +1,39 @@
 """Exact money arithmetic.
 
-Money columns arrive as doubles with two decimals. Sums over them are taken as
-decimals: addition order then cannot change a result, which at 10^12 rows a
-double sum does not guarantee even for whole units.
+Money columns arrive as doubles with two decimals. They are turned into whole
+units (cents, or ten-thousandths for a price times a percentage), summed as
+decimals and scaled back at the end. Addition order then cannot change a
+result, which at 10^12 rows a double sum does not guarantee even for whole
+amounts, and a bigint sum could overflow there.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def amount(col: str) -> Column:
-    """A money column as decimal(12,2)."""
-    return F.col(col).cast("decimal(12,2)")
+def _hundredths(col: str) -> Column:
+    return F.rint(F.col(col) * 100).cast("bigint")
+
+
+def cents(col: str) -> Column:
+    """A money column in cents, as decimal(18,0), which Spark keeps in a long."""
+    return _hundredths(col).cast("decimal(18,0)")
+
+
+def revenue_units(price: str = "l_extendedprice", discount: str = "l_discount") -> Column:
+    """price * (1 - discount) in ten-thousandths, as decimal(18,0)."""
+    return (_hundredths(price) * (100 - _hundredths(discount))).cast("decimal(18,0)")
 
 
-def net_revenue(price: str = "l_extendedprice", discount: str = "l_discount") -> Column:
-    """price * (1 - discount); decimal(18,4), which Spark still keeps in a long."""
-    return amount(price) * (F.lit(1) - F.col(discount).cast("decimal(4,2)"))
+def total_cents(units: Column) -> Column:
+    """The sum of cents as money, decimal(38,2)."""
+    return (F.sum(units) * F.lit(Decimal("0.01"))).cast("decimal(38,2)")
 
 
-def to_cents(col: Column) -> Column:
-    return F.round(col, 2).cast("decimal(38,2)")
+def total_revenue(units: Column) -> Column:
+    """The sum of revenue units as money rounded to cents, decimal(38,2)."""
+    return F.round(F.sum(units) * F.lit(Decimal("0.0001")), 2).cast("decimal(38,2)")

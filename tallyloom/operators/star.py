@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.money import net_revenue
+from tallyloom.functions.money import revenue_units
 
 
 def places(nation: DataFrame, region: DataFrame) -> DataFrame:
@@ -21,13 +21,13 @@ def places(nation: DataFrame, region: DataFrame) -> DataFrame:
 
 
 def order_totals(lineitem: DataFrame) -> DataFrame:
-    """Revenue and number of lines per order.
+    """Revenue units and number of lines per order.
 
     Lines meet orders as one row per order. The aggregation leaves them
     partitioned by order key, which the join then reuses.
     """
     return lineitem.groupBy("l_orderkey").agg(
-        F.sum(net_revenue()).alias("revenue"), F.count(F.lit(1)).alias("n")
+        F.sum(revenue_units()).alias("revenue_units"), F.count(F.lit(1)).alias("n")
     )
 
 

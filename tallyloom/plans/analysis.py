@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.money import amount
+from tallyloom.functions.money import cents, total_cents
 from tallyloom.operators import profile, ranking, trends
 from tallyloom.plans.query import Query
 from tallyloom.sources.tables import read_table
@@ -130,7 +130,7 @@ def monthly_orders(spark: SparkSession, root: str) -> DataFrame:
         read_table(spark, root, "orders"),
         "o_orderdate",
         "month",
-        {"n": F.count(F.lit(1)), "total": F.sum(amount("o_totalprice"))},
+        {"n": F.count(F.lit(1)), "total": total_cents(cents("o_totalprice"))},
     )
     return trends.with_change(months, "total").withColumnRenamed("period", "month")
 

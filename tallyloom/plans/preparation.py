@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.money import amount, to_cents
+from tallyloom.functions.money import cents, total_cents, total_revenue
 from tallyloom.functions.text_keys import exact_key, folded_key
 from tallyloom.operators import duplicates, quality, star
 from tallyloom.plans.query import Query
@@ -222,7 +222,7 @@ def reject_summary(spark: SparkSession, root: str) -> DataFrame:
     return (
         quality.with_reject_reason(customer, customer_acceptance())
         .groupBy(F.coalesce("reject_reason", F.lit("pass")).alias("verdict"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(amount("c_acctbal")).alias("balance"))
+        .agg(F.count(F.lit(1)).alias("n"), total_cents(cents("c_acctbal")).alias("balance"))
     )
 
 
@@ -313,7 +313,7 @@ def revenue_by_region_year(spark: SparkSession, root: str) -> DataFrame:
         .join(customer, F.col("o_custkey") == customer.c_custkey)
         .join(star.places(nation, region), F.col("c_nationkey") == F.col("n_nationkey"))
         .groupBy("r_name", F.year("o_orderdate").cast("bigint").alias("order_year"))
-        .agg(to_cents(F.sum("revenue")).alias("revenue"), F.sum("n").alias("n"))
+        .agg(total_revenue(F.col("revenue_units")).alias("revenue"), F.sum("n").alias("n"))
     )
 
 
@@ -341,7 +341,7 @@ def partitioned_orders(spark: SparkSession, root: str) -> DataFrame:
         spark.read.schema(orders.schema)
         .parquet(path)
         .groupBy(F.col("order_year").cast("bigint").alias("order_year"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(amount("o_totalprice")).alias("total"))
+        .agg(F.count(F.lit(1)).alias("n"), total_cents(cents("o_totalprice")).alias("total"))
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.money import amount, net_revenue, to_cents
+from tallyloom.functions.money import cents, revenue_units, total_cents, total_revenue
 from tallyloom.operators import reporting, star
 from tallyloom.plans.query import Query
 from tallyloom.sources import sinks
@@ -23,7 +23,7 @@ def customer_subtotals(spark: SparkSession, root: str) -> DataFrame:
         read_table(spark, root, t) for t in ("customer", "nation", "region")
     )
     per_nation = customer.groupBy("c_nationkey").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(amount("c_acctbal")).alias("balance")
+        F.count(F.lit(1)).alias("n"), F.sum(cents("c_acctbal")).alias("balance")
     )
     placed = per_nation.join(
         star.places(nation, region), F.col("c_nationkey") == F.col("n_nationkey")
@@ -31,7 +31,7 @@ def customer_subtotals(spark: SparkSession, root: str) -> DataFrame:
     return reporting.subtotals(
         placed,
         ["r_name", "n_name"],
-        [F.sum("n").alias("n"), to_cents(F.sum("balance")).alias("balance")],
+        [F.sum("n").alias("n"), total_cents(F.col("balance")).alias("balance")],
     )
 
 
@@ -53,11 +53,11 @@ def brand_share(spark: SparkSession, root: str) -> DataFrame:
     """
     lineitem = read_table(spark, root, "lineitem")
     part = read_table(spark, root, "part")
-    per_part = lineitem.groupBy("l_partkey").agg(F.sum(net_revenue()).alias("revenue"))
+    per_part = lineitem.groupBy("l_partkey").agg(F.sum(revenue_units()).alias("revenue"))
     per_brand = (
         per_part.join(part, per_part.l_partkey == part.p_partkey)
         .groupBy("p_brand")
-        .agg(to_cents(F.sum("revenue")).alias("revenue"))
+        .agg(total_revenue(F.col("revenue")).alias("revenue"))
     )
     ranked = reporting.with_share_and_rank(per_brand, "revenue", "p_brand")
     return ranked.withColumn("share", F.round("share", 8))
@@ -83,7 +83,7 @@ def key_figures(spark: SparkSession, root: str) -> DataFrame:
             orders,
             {
                 "orders": F.count(F.lit(1)),
-                "order value": F.sum(amount("o_totalprice")),
+                "order value": total_cents(cents("o_totalprice")),
                 "open orders": F.count_if(F.col("o_orderstatus") == "O"),
                 "urgent orders": F.count_if(F.col("o_orderpriority") == "1-URGENT"),
             },
@@ -92,7 +92,7 @@ def key_figures(spark: SparkSession, root: str) -> DataFrame:
             lineitem,
             {
                 "order lines": F.count(F.lit(1)),
-                "net revenue": to_cents(F.sum(net_revenue())),
+                "net revenue": total_revenue(revenue_units()),
                 "units sold": F.sum(F.col("l_quantity").cast("bigint")),
                 "returned lines": F.count_if(F.col("l_returnflag") == "R"),
             },
