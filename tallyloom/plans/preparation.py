@@ -74,7 +74,8 @@ def _orders_csv(spark: SparkSession, root: str) -> DataFrame:
     text = F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus", price, *tail)
     path = scratch_path(spark, "orders-csv")
     orders.select(text).write.text(path)
-    return csv_files.ingest_csv(spark, path, schema_of("orders"))
+    target = scratch_path(spark, "orders-ingested")
+    return csv_files.ingest_csv(spark, path, schema_of("orders"), target)
 
 
 def csv_good_rows(spark: SparkSession, root: str) -> DataFrame:
@@ -129,9 +130,14 @@ def line_rules() -> quality.Rules:
 
 
 def rule_violations(spark: SparkSession, root: str) -> DataFrame:
-    customer, orders, lineitem, part = (
-        read_table(spark, root, t) for t in ("customer", "orders", "lineitem", "part")
+    return violations_in(
+        *[read_table(spark, root, t) for t in ("customer", "orders", "lineitem", "part")]
     )
+
+
+def violations_in(
+    customer: DataFrame, orders: DataFrame, lineitem: DataFrame, part: DataFrame
+) -> DataFrame:
     return quality.rule_report(
         [
             quality.count_violations(customer, customer_rules()),

@@ -135,6 +135,13 @@ def report_file(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(table.schema).option("header", True).csv(path)
 
 
+# The tables of the report job.
+TABLES = {
+    "customer_subtotals": customer_subtotals,
+    "brand_share": brand_share,
+    "key_figures": key_figures,
+}
+
 QUERIES = {
     "customer_subtotals": Query(customer_subtotals, CUSTOMER_SUBTOTALS_SQL),
     "brand_share": Query(brand_share, BRAND_SHARE_SQL),

@@ -4,21 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
-
-from tallyloom.sources.scratch import written
+from pyspark.sql.types import BooleanType, StringType, StructType
 
 RAW_LINE = "raw_line"
+READABLE = "readable"
 
 
 def ingest_csv(
-    spark: SparkSession, path: str, schema: StructType, header: bool = False
+    spark: SparkSession, path: str, schema: StructType, target: str, header: bool = False
 ) -> DataFrame:
-    """Read CSV with a declared schema; a line that does not fit it keeps its
-    text in ``raw_line``, every other line has null there.
+    """Parse CSV with a declared schema into a Parquet table at ``target``.
 
-    The text is parsed once, into a written table: the good and the bad rows are
-    then both read from columns.
+    The text is parsed once. A line that does not fit the schema is kept whole
+    in ``raw_line`` under the partition ``readable=false``; all others lie under
+    ``readable=true``, so either kind is read without the other.
     """
     with_raw = StructType(list(schema.fields)).add(RAW_LINE, StringType())
     parsed = (
@@ -28,12 +27,15 @@ def ingest_csv(
         .option("columnNameOfCorruptRecord", RAW_LINE)
         .csv(path)
     )
-    return written(parsed, "ingested")
+    marked = parsed.withColumn(READABLE, F.col(RAW_LINE).isNull())
+    marked.write.mode("overwrite").partitionBy(READABLE).parquet(target)
+    with_mark = StructType(list(with_raw.fields)).add(READABLE, BooleanType())
+    return spark.read.schema(with_mark).parquet(target)
 
 
 def good_rows(ingested: DataFrame) -> DataFrame:
-    return ingested.where(F.col(RAW_LINE).isNull()).drop(RAW_LINE)
+    return ingested.where(READABLE).drop(READABLE, RAW_LINE)
 
 
 def bad_lines(ingested: DataFrame) -> DataFrame:
-    return ingested.where(F.col(RAW_LINE).isNotNull()).select(RAW_LINE)
+    return ingested.where(~F.col(READABLE)).select(RAW_LINE)
