@@ -13,6 +13,10 @@ here. For a larger group the wanted ranks are narrowed first:
 
 The marks only decide how much work is left, never the result: should a rank
 fall outside its bracket, the values of that slot are listed as well.
+
+The per-group tables (hot groups, marks, ranks) are written and read back, so
+Spark knows their size: it broadcasts those under its threshold and sort-merges
+the others, splitting a hot group's partition. No hint overrides that.
 """
 
 from __future__ import annotations
@@ -30,8 +34,6 @@ GROUP_LIMIT = 100_000
 ACCURACY = 5_000
 # Parts a slot is cut into when it lists too many values.
 CUTS = 64
-# Rows of a per-group table up to which it is sent to every task.
-BROADCAST_ROWS = 20_000
 
 
 def quantile_name(p: float) -> str:
@@ -43,12 +45,14 @@ def exact_quantiles(
     value: str,
     probs: Sequence[float],
     by: Sequence[str] = (),
-    limit: int = GROUP_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
     """One row per group: ``by`` columns and one column per quantile (p25, p50, ...).
 
-    Null values are left out; a null group is a group.
+    Null values are left out; a null group is a group. Whether groups beyond
+    ``limit`` exist, and their marks, is found by jobs run right away.
     """
+    limit = GROUP_LIMIT if limit is None else limit
     # One struct as key: unlike its fields it is never null, so it also joins.
     key = F.struct(*by) if by else F.struct(F.lit(0).alias("_all"))
     rows = df.where(F.col(value).isNotNull()).select(
@@ -61,14 +65,12 @@ def exact_quantiles(
         return result.drop("_key")
 
     hot = written(sizes.where(F.col("_n") > limit).select("_key"), "quantile-hot-groups")
-    n_hot = hot.count()
-    if n_hot:
-        hot = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
+    if hot.isEmpty():
+        result = _buffered(rows, probs)
+    else:
         in_small = rows.join(hot, "_key", "left_anti")
         in_hot = rows.join(hot, "_key", "left_semi")
         result = _buffered(in_small, probs).unionByName(_narrowed(in_hot, probs, limit))
-    else:
-        result = _buffered(rows, probs)
     return result.select("_key.*", *[quantile_name(p) for p in probs])
 
 
@@ -126,10 +128,7 @@ def _with_marks(rows: DataFrame, marks: DataFrame, grouped: bool) -> DataFrame:
     if not grouped:
         values = marks.first()["_marks"]
         return rows.withColumn("_marks", F.array(*[F.lit(v) for v in values]))
-    side = marks.select("_key", "_marks")
-    if marks.count() <= BROADCAST_ROWS:
-        side = F.broadcast(side)
-    return rows.join(side, "_key")
+    return rows.join(marks.select("_key", "_marks"), "_key")
 
 
 def _slot_of(n: int) -> Column:

@@ -64,9 +64,14 @@ def test_bad_marks_do_not_change_the_result(values, monkeypatch):
     check(row, [r[0] for r in values.select("l_quantity").collect()])
 
 
-def test_hot_groups_without_broadcast(values, monkeypatch):
-    monkeypatch.setattr(quantiles, "BROADCAST_ROWS", 0)
-    rows = exact_quantiles(values, "l_quantity", PROBS, ["g"], limit=1000).collect()
+def test_hot_groups_without_broadcast(spark, values):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        rows = exact_quantiles(values, "l_quantity", PROBS, ["g"], limit=1000).collect()
+    finally:
+        spark.conf.set(key, before)
     by_group = {}
     for g, v in values.select("g", "l_quantity").collect():
         by_group.setdefault(g, []).append(v)
