@@ -87,7 +87,7 @@ def prepare(spark: SparkSession, root: str, out: str, csv: bool = False) -> None
     nation, region, documents = (load(name) for name in ("nation", "region", "documents"))
 
     violations = preparation.violations_in(customer, orders, lineitem, part)
-    sinks.write_report(violations, f"{out}/rule_violations")
+    sinks.write_report(violations, f"{out}/rule_violations", order=["rule"])
 
     verdict = F.coalesce("reject_reason", F.lit("pass")).alias("verdict")
     judged = quality.with_reject_reason(customer, preparation.customer_acceptance())
@@ -116,8 +116,8 @@ def analyse(spark: SparkSession, root: str, out: str) -> None:
 
 def report(spark: SparkSession, root: str, out: str, fmt: str = "csv") -> None:
     """Write every report table under its name, as one CSV or JSON file each."""
-    for name, table in reports.TABLES.items():
-        sinks.write_report(table(spark, root), f"{out}/{name}", fmt)
+    for name, (table, order) in reports.TABLES.items():
+        sinks.write_report(table(spark, root), f"{out}/{name}", fmt, order)
 
 
 JOBS: dict[str, Callable] = {

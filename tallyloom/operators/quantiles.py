@@ -199,8 +199,11 @@ def _cut_down(
     while most > limit:
         located = written(located, "quantile-ranks")
         held = _held(weights, located, keys)
-        cuts = held.groupBy(*keys).agg(
-            F.percentile_approx("_v", [i / CUTS for i in range(1, CUTS)], 1000).alias("_cuts")
+        # Sketches merge in no fixed order: written, so that a recomputed task sees the same cuts.
+        marks = [i / CUTS for i in range(1, CUTS)]
+        cuts = written(
+            held.groupBy(*keys).agg(F.percentile_approx("_v", marks, 1000).alias("_cuts")),
+            "quantile-cut-marks",
         )
         cut = f"_cut{len(keys)}"
         at_or_below = F.filter("_cuts", lambda c: c <= F.col("_v"))

@@ -131,15 +131,15 @@ def report_file(spark: SparkSession, root: str) -> DataFrame:
     """The subtotals written as one CSV file with a header and read back."""
     table = customer_subtotals(spark, root)
     path = scratch_path(spark, "subtotals-csv")
-    sinks.write_report(table, path)
+    sinks.write_report(table, path, order=["r_name", "n_name"])
     return spark.read.schema(table.schema).option("header", True).csv(path)
 
 
-# The tables of the report job.
+# The tables of the report job, each with the order of its rows.
 TABLES = {
-    "customer_subtotals": customer_subtotals,
-    "brand_share": brand_share,
-    "key_figures": key_figures,
+    "customer_subtotals": (customer_subtotals, ["r_name", "n_name"]),
+    "brand_share": (brand_share, ["rank"]),
+    "key_figures": (key_figures, ["metric"]),
 }
 
 QUERIES = {

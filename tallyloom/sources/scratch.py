@@ -31,8 +31,10 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path, never one used before."""
-    return f"{scratch_root(spark).rstrip('/')}/tallyloom/{label}-{uuid.uuid4().hex}"
+    """A new path, never one used before, under a folder named after the application
+    so that what a finished application left can be dropped in one go."""
+    app = spark.sparkContext.applicationId
+    return f"{scratch_root(spark).rstrip('/')}/tallyloom/{app}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 
@@ -21,9 +23,16 @@ def write_partitioned(df: DataFrame, path: str, by: str) -> None:
     )
 
 
-def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """One file for a small result table (a report of bounded size)."""
-    writer = df.coalesce(1).write.mode("overwrite")
+def write_report(df: DataFrame, path: str, fmt: str = "csv", order: Sequence[str] = ()) -> None:
+    """One file for a small result table (a report of bounded size), in ``order``.
+
+    The rows are gathered by a shuffle of their own, so the work before it keeps
+    its parallelism.
+    """
+    gathered = df.repartition(1)
+    if order:
+        gathered = gathered.sortWithinPartitions(*order)
+    writer = gathered.write.mode("overwrite")
     if fmt == "csv":
         writer.option("header", True).csv(path)
     elif fmt == "json":
