@@ -5,39 +5,43 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.quantiles import exact_quantiles
+from tallyloom.operators.quantiles import exact_quantiles, group_key, quantiles_by_key
 
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def moments(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """Count, mean, sample standard deviation and range, in one aggregation."""
-    return df.groupBy(*by).agg(
+def _moments(value: str) -> list[Column]:
+    return [
         F.count(value).alias("n"),
         F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("sd"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
-    )
+    ]
 
 
 def profile(df: DataFrame, value: str) -> DataFrame:
-    """One row: :func:`moments` and the exact quartiles."""
+    """One row: count, mean, sample standard deviation, range and exact quartiles."""
     quartiles = exact_quantiles(df, value, QUARTILES).select(
-        F.struct(*["p25", "p50", "p75"]).alias("q")
+        F.struct("p25", "p50", "p75").alias("q")
     )
-    return moments(df, value).withColumn("q", quartiles.scalar()).select("*", "q.*").drop("q")
+    row = df.agg(*_moments(value)).withColumn("q", quartiles.scalar())
+    return row.select("*", "q.*").drop("q")
 
 
 def group_profile(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
-    """:func:`moments` and the exact quartiles per group; a null group counts as one."""
-    left = moments(df, value, by).alias("m")
-    right = exact_quantiles(df, value, QUARTILES, by).alias("q")
-    same_group = [F.col(f"m.{c}").eqNullSafe(F.col(f"q.{c}")) for c in by]
-    return left.join(right, same_group, "left").select("m.*", "q.p25", "q.p50", "q.p75")
+    """:func:`profile` per group; a null group counts as one.
+
+    Both halves are grouped by the same key, so their join needs no shuffle.
+    """
+    quartiles = quantiles_by_key(df, value, QUARTILES, by)
+    per_group = df.groupBy(group_key(by)).agg(*_moments(value))
+    return per_group.join(quartiles, "_key", "left").select(
+        "_key.*", "n", "mean", "sd", "min", "max", "p25", "p50", "p75"
+    )
 
 
 def outliers(df: DataFrame, value: str, k: float = 1.5) -> DataFrame:

@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 
 from tallyloom.sources.scratch import written
 
-# Rows, or distinct values, that one task may hold for one group.
-GROUP_LIMIT = 100_000
+# Rows one buffer may hold: of the whole table, or of a group. A task may have up
+# to 128 group buffers open before Spark turns to sorting, hence the lower figure.
+WHOLE_LIMIT = 1_000_000
+GROUP_LIMIT = 50_000
 # Rank error of the marks is 1/ACCURACY; brackets are twice that to each side.
 ACCURACY = 5_000
 # Parts a slot is cut into when it lists too many values.
@@ -40,6 +42,12 @@ def quantile_name(p: float) -> str:
     return f"p{p * 100:g}".replace(".", "_")
 
 
+def group_key(by: Sequence[str]) -> Column:
+    """The group columns as one struct: unlike its fields it is never null, so
+    null groups join too."""
+    return F.struct(*by).alias("_key")
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -50,28 +58,36 @@ def exact_quantiles(
     """One row per group: ``by`` columns and one column per quantile (p25, p50, ...).
 
     Null values are left out; a null group is a group. Whether groups beyond
-    ``limit`` exist, and their marks, is found by jobs run right away.
+    ``limit`` rows exist, and their marks, is found by jobs run right away.
     """
+    if by:
+        return quantiles_by_key(df, value, probs, by, limit).select(
+            "_key.*", *[quantile_name(p) for p in probs]
+        )
+    limit = WHOLE_LIMIT if limit is None else limit
+    rows = _values(df, value, F.struct(F.lit(0).alias("_all")).alias("_key"))
+    if rows.count() > limit:
+        return _narrowed(rows, probs, limit, grouped=False).drop("_key")
+    return _buffered(rows, probs).drop("_key")
+
+
+def quantiles_by_key(
+    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str], limit: int | None = None
+) -> DataFrame:
+    """As :func:`exact_quantiles`, the group as :func:`group_key`."""
     limit = GROUP_LIMIT if limit is None else limit
-    # One struct as key: unlike its fields it is never null, so it also joins.
-    key = F.struct(*by) if by else F.struct(F.lit(0).alias("_all"))
-    rows = df.where(F.col(value).isNotNull()).select(
-        key.alias("_key"), F.col(value).cast("double").alias("_v")
-    )
+    rows = _values(df, value, group_key(by))
     sizes = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
-    if not by:
-        large = (sizes.first() or {"_n": 0})["_n"] > limit
-        result = _narrowed(rows, probs, limit, grouped=False) if large else _buffered(rows, probs)
-        return result.drop("_key")
-
     hot = written(sizes.where(F.col("_n") > limit).select("_key"), "quantile-hot-groups")
     if hot.isEmpty():
-        result = _buffered(rows, probs)
-    else:
-        in_small = rows.join(hot, "_key", "left_anti")
-        in_hot = rows.join(hot, "_key", "left_semi")
-        result = _buffered(in_small, probs).unionByName(_narrowed(in_hot, probs, limit))
-    return result.select("_key.*", *[quantile_name(p) for p in probs])
+        return _buffered(rows, probs)
+    in_small = rows.join(hot, "_key", "left_anti")
+    in_hot = rows.join(hot, "_key", "left_semi")
+    return _buffered(in_small, probs).unionByName(_narrowed(in_hot, probs, limit))
+
+
+def _values(df: DataFrame, value: str, key: Column) -> DataFrame:
+    return df.where(F.col(value).isNotNull()).select(key, F.col(value).cast("double").alias("_v"))
 
 
 def _buffered(rows: DataFrame, probs: Sequence[float]) -> DataFrame:

@@ -49,6 +49,7 @@ def as_if_large(spark, monkeypatch):
     for k, v in LARGE_TABLE_SETTINGS.items():
         spark.conf.set(k, v)
     monkeypatch.setattr(quantiles, "GROUP_LIMIT", 500)
+    monkeypatch.setattr(quantiles, "WHOLE_LIMIT", 500)
     yield
     for k, v in before.items():
         spark.conf.set(k, v)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyloom.operators import quantiles
@@ -84,3 +86,42 @@ def test_empty_and_null(spark):
     assert exact_quantiles(nothing, "v", (0.5,), ["g"]).count() == 0
     nulls = spark.createDataFrame([("a", None), ("a", 2.0), ("b", None)], "g string, v double")
     assert [tuple(r) for r in exact_quantiles(nulls, "v", (0.5,), ["g"]).collect()] == [("a", 2.0)]
+
+
+@settings(
+    max_examples=12,
+    deadline=None,
+    derandomize=True,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from(["a", "a", "a", "b", None]),
+            st.one_of(st.integers(-3, 3).map(float), st.floats(-1e9, 1e9)),
+        ),
+        min_size=1,
+        max_size=60,
+    ),
+    st.integers(1, 20),
+)
+def test_any_values_any_limit(spark, data, limit):
+    df = spark.createDataFrame(data, "g string, v double").coalesce(2)
+    by_group = {}
+    for g, v in data:
+        by_group.setdefault(g, []).append(v)
+    rows = exact_quantiles(df, "v", PROBS, ["g"], limit=limit).collect()
+    assert len(rows) == len(by_group)
+    for r in rows:
+        got = [r[quantiles.quantile_name(p)] for p in PROBS]
+        assert got == pytest.approx(expected(by_group[r["g"]]), rel=1e-9, abs=1e-9)
+
+
+def test_not_a_number_sorts_last(spark):
+    data = [(float(i),) for i in range(50)] + [(float("nan"),)] * 50
+    df = spark.createDataFrame(data, "v double")
+    probs = (0.1, 0.4, 0.9)
+    narrowed = exact_quantiles(df, "v", probs, limit=5).first()
+    buffered = exact_quantiles(df, "v", probs).first()
+    assert [repr(v) for v in narrowed] == [repr(v) for v in buffered]
+    assert repr(narrowed[2]) == "nan"
