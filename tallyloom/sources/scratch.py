@@ -22,7 +22,7 @@ def _local_root() -> str:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    root = spark.conf.get(_KEY, None)
+    root = spark.conf.get(_KEY, None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
     if not spark.conf.get("spark.master").startswith("local"):

@@ -7,16 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def write_partitioned(df: DataFrame, path: str, by: str) -> None:
+def write_partitioned(df: DataFrame, path: str, by: str, gather: bool = True) -> None:
     """Write ``df`` partitioned by ``by``; only the partitions present in ``df``
     are replaced, so a rerun of one period leaves the others alone.
 
-    The rebalance hint gathers each partition value into few files, and AQE
-    splits a value that holds much of the table over several tasks.
+    With ``gather`` a rebalance hint brings each partition value into few files,
+    and AQE splits a value that holds much of the table over several tasks.
+    Without it nothing is shuffled and each task writes a file per value it
+    holds: right for a large table with few values, where such files are large.
     """
+    rows = df.hint("rebalance", by) if gather else df
     (
-        df.hint("rebalance", by)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(by)
         .parquet(path)

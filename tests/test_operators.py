@@ -212,11 +212,13 @@ def test_csv_lines_that_do_not_fit(spark, tmp_path):
     assert kept.schema == schema_of("orders")
 
 
-def test_only_the_written_partitions_are_replaced(spark, tmp_path):
+@pytest.mark.parametrize("gather", [True, False])
+def test_only_the_written_partitions_are_replaced(spark, tmp_path, gather):
     path = f"{tmp_path}/t"
     df = spark.createDataFrame([(1, 1995), (2, 1996), (3, 1996)], "k int, y int")
-    sinks.write_partitioned(df, path, "y")
-    sinks.write_partitioned(spark.createDataFrame([(4, 1996)], "k int, y int"), path, "y")
+    again = spark.createDataFrame([(4, 1996)], "k int, y int")
+    sinks.write_partitioned(df, path, "y", gather)
+    sinks.write_partitioned(again, path, "y", gather)
     assert rows(spark.read.schema(df.schema).parquet(path)) == [(1, 1995), (4, 1996)]
 
 
