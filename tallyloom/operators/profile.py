@@ -44,6 +44,14 @@ def group_profile(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     )
 
 
+def column_profiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """:func:`profile` of several columns, one row each, in the scans one would take."""
+    values = [F.col(c).cast("double").alias(c) for c in columns]
+    return group_profile(
+        df.select(*values).unpivot([], list(columns), "column_name", "value"), "value", ["column_name"]
+    )
+
+
 def outliers(df: DataFrame, value: str, k: float = 1.5) -> DataFrame:
     """Rows further than ``k`` interquartile ranges outside the quartiles.
 

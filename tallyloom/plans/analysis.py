@@ -53,6 +53,16 @@ def value_profile_by_user(spark: SparkSession, root: str) -> DataFrame:
 VALUE_PROFILE_BY_USER_SQL = f"SELECT user_id, {_PROFILE_SQL} FROM events GROUP BY 1"
 
 
+def line_profiles(spark: SparkSession, root: str) -> DataFrame:
+    per_column = profile.column_profiles(read_table(spark, root, "lineitem"), MEASURES)
+    return _rounded(per_column, "mean", "sd", "p25", "p50", "p75")
+
+
+LINE_PROFILES_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, {_PROFILE_SQL.replace('value', c)} FROM lineitem" for c in MEASURES
+)
+
+
 def value_outliers(spark: SparkSession, root: str) -> DataFrame:
     events = read_table(spark, root, "events")
     return profile.outliers(events, "value").select("event_id", "event_type", "value")
@@ -191,6 +201,7 @@ QUERIES = {
     "value_profile": Query(value_profile, VALUE_PROFILE_SQL),
     "value_profile_by_type": Query(value_profile_by_type, VALUE_PROFILE_BY_TYPE_SQL),
     "value_profile_by_user": Query(value_profile_by_user, VALUE_PROFILE_BY_USER_SQL),
+    "line_profiles": Query(line_profiles, LINE_PROFILES_SQL),
     "value_outliers": Query(value_outliers, VALUE_OUTLIERS_SQL),
     "line_correlations": Query(line_correlations, LINE_CORRELATIONS_SQL),
     "value_histogram": Query(value_histogram, VALUE_HISTOGRAM_SQL),

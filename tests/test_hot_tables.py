@@ -63,3 +63,10 @@ def test_tables_are_hot(spark, hot):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_equals_sql(spark, hot, duck, as_if_large, name):
     assert_same(runner(name)(spark, hot), duck, QUERIES[name].sql)
+
+
+def test_hot_partitions_are_split(spark, hot, as_if_large):
+    """The join of whole lines to the hot part runs as several tasks."""
+    df = runner("star_enrichment")(spark, hot)
+    df.collect()
+    assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
