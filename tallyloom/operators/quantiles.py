@@ -4,7 +4,7 @@
 right for groups of bounded size and is what groups up to ``limit`` rows use
 here. For a larger group the wanted ranks are narrowed first:
 
-1. ``percentile_approx`` gives, per group, two values around each wanted rank.
+1. Sketches give, per group, two values (marks) around each wanted rank.
 2. One pass counts the rows between those marks and lists, with counts, only
    the values inside a bracket; the rest is folded into one count per slot.
 3. The slot totals place each rank exactly. A rank is read off the values of
@@ -32,8 +32,14 @@ from tallyloom.sources.scratch import written
 # to 128 group buffers open before Spark turns to sorting, hence the lower figure.
 WHOLE_LIMIT = 1_000_000
 GROUP_LIMIT = 50_000
-# Rank error of the marks is 1/ACCURACY; brackets are twice that to each side.
-ACCURACY = 5_000
+# A sketch per task is merged in PIECES reducers per group, each of which passes on
+# GRID + 1 evenly spaced quantiles; the rank error of the marks made of them is
+# about 1/ACCURACY + 1/GRID.
+PIECES = 64
+ACCURACY = 1_000
+GRID = 500
+# How far the brackets reach to each side of a wanted rank.
+EDGE = 2 / ACCURACY + 1 / GRID
 # Parts a slot is cut into when it lists too many values.
 CUTS = 64
 
@@ -100,16 +106,9 @@ def _buffered(rows: DataFrame, probs: Sequence[float]) -> DataFrame:
 def _narrowed(
     rows: DataFrame, probs: Sequence[float], limit: int, grouped: bool = True
 ) -> DataFrame:
-    edge = 2 / ACCURACY
-    brackets = [(max(p - edge, 0.0), min(p + edge, 1.0)) for p in probs]
+    brackets = [(max(p - EDGE, 0.0), min(p + EDGE, 1.0)) for p in probs]
     grid = sorted({mark for bracket in brackets for mark in bracket})
-    marks = written(
-        rows.groupBy("_key").agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.percentile_approx("_v", grid, ACCURACY).alias("_marks"),
-        ),
-        "quantile-marks",
-    )
+    marks = _marks(rows, ["_key"], grid)
 
     marked = _with_marks(rows, marks, grouped).withColumn("_slot", _slot_of(len(grid)))
     inside = F.lit(False)
@@ -140,6 +139,33 @@ def _narrowed(
     return _interpolated(picked, probs)
 
 
+def _marks(rows: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+    """Size of each group and values near its quantiles ``probs``, written.
+
+    One group's sketches come from every task; merged by one reducer they would
+    hold up the job, so they are merged in pieces and the pieces' quantiles,
+    weighted by their rows, are put together. The marks depend on how rows fall
+    into partitions: written, they are the same for every task that uses them.
+    """
+    evenly = [i / GRID for i in range(GRID + 1)]
+    pieces = (
+        rows.withColumn("_piece", F.spark_partition_id() % PIECES)
+        .groupBy(*keys, "_piece")
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.percentile_approx("_v", evenly, ACCURACY).alias("_grid"),
+        )
+    )
+    points = pieces.select(*keys, "_n", F.posexplode("_grid").alias("_i", "_v"))
+    return written(
+        points.groupBy(*keys).agg(
+            F.sum(F.when(F.col("_i") == 0, F.col("_n"))).alias("_n"),
+            F.percentile("_v", list(probs), F.col("_n")).alias("_marks"),
+        ),
+        "quantile-marks",
+    )
+
+
 def _with_marks(rows: DataFrame, marks: DataFrame, grouped: bool) -> DataFrame:
     if not grouped:
         values = marks.first()["_marks"]
@@ -215,16 +241,11 @@ def _cut_down(
     while most > limit:
         located = written(located, "quantile-ranks")
         held = _held(weights, located, keys)
-        # Sketches merge in no fixed order: written, so that a recomputed task sees the same cuts.
-        marks = [i / CUTS for i in range(1, CUTS)]
-        cuts = written(
-            held.groupBy(*keys).agg(F.percentile_approx("_v", marks, 1000).alias("_cuts")),
-            "quantile-cut-marks",
-        )
+        cuts = _marks(held, keys, [i / CUTS for i in range(1, CUTS)]).drop("_n")
         cut = f"_cut{len(keys)}"
-        at_or_below = F.filter("_cuts", lambda c: c <= F.col("_v"))
+        at_or_below = F.filter("_marks", lambda mark: mark <= F.col("_v"))
         weights = written(
-            held.join(cuts, keys).withColumn(cut, F.size(at_or_below)).drop("_cuts"),
+            held.join(cuts, keys).withColumn(cut, F.size(at_or_below)).drop("_marks"),
             "quantile-cuts",
         )
         located = _locate(located, weights, keys, cut)

@@ -58,8 +58,8 @@ def test_groups(values, limit):
 def test_bad_marks_do_not_change_the_result(values, monkeypatch):
     """Brackets around the wrong ranks: the slots are listed after all."""
 
-    def misplaced(column, grid, accuracy):
-        return F.array(*[F.lit(float(-i)) for i in range(len(grid), 0, -1)])
+    def misplaced(column, evenly, accuracy):
+        return F.array(*[F.lit(float(-i)) for i in range(len(evenly), 0, -1)])
 
     monkeypatch.setattr(quantiles.F, "percentile_approx", misplaced)
     row = exact_quantiles(values, "l_quantity", PROBS, limit=100).first()
