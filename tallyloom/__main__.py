@@ -22,6 +22,7 @@ def _parser() -> argparse.ArgumentParser:
     generate.add_argument("--seed", type=int, default=7)
     generate.add_argument("--hot-share", type=float, default=0.0)
     generate.add_argument("--csv", action="store_true")
+    generate.add_argument("--overwrite", action="store_true")
 
     prepare = commands.add_parser("prepare", help="ingest, validate, clean and enrich")
     prepare.add_argument("root")

@@ -1,6 +1,7 @@
 """The four batch jobs: generate, prepare, analyse, report.
 
-Each reads a table folder and writes one; none returns rows to the driver.
+Each reads a table folder and writes one; no more than single rows of counts and
+quantile marks reach the driver.
 """
 
 from __future__ import annotations
@@ -33,11 +34,13 @@ def generate(
     seed: int = 7,
     hot_share: float = 0.0,
     csv: bool = False,
+    overwrite: bool = False,
 ) -> None:
     """Write a set of tables around ``n_orders`` orders, the others in proportion.
 
     With ``hot_share`` that part of the orders, lines and events belongs to one
-    customer, part and user.
+    customer, part and user. Tables already there are kept, and the job fails,
+    unless ``overwrite`` is set.
     """
 
     def ids(n: int) -> DataFrame:
@@ -59,11 +62,11 @@ def generate(
         "documents": generator.documents(ids(n_documents), seed),
     }
     for name, table in tables.items():
-        table = table.to(schema_of(name))
+        writer = table.to(schema_of(name)).write.mode("overwrite" if overwrite else "error")
         if csv and name in CSV_TABLES:
-            table.write.csv(csv_path(out, name))
+            writer.csv(csv_path(out, name))
         else:
-            table.write.parquet(table_path(out, name))
+            writer.parquet(table_path(out, name))
 
 
 def prepare(spark: SparkSession, root: str, out: str, csv: bool = False) -> None:
@@ -72,7 +75,7 @@ def prepare(spark: SparkSession, root: str, out: str, csv: bool = False) -> None
     Writes under ``out``: ``ingested`` (CSV deliveries only: each table, lines
     that do not fit their schema apart), ``rule_violations``, ``customers`` by
     verdict, ``documents`` without repeats, ``events`` with parsed properties,
-    and ``lines`` by order year.
+    and ``lines`` by order year. Each is replaced as a whole.
     """
 
     def load(name: str) -> DataFrame:
@@ -92,7 +95,7 @@ def prepare(spark: SparkSession, root: str, out: str, csv: bool = False) -> None
     verdict = F.coalesce("reject_reason", F.lit("pass")).alias("verdict")
     judged = quality.with_reject_reason(customer, preparation.customer_acceptance())
     sinks.write_partitioned(
-        judged.select(*customer.columns, verdict), f"{out}/customers", "verdict"
+        judged.select(*customer.columns, verdict), f"{out}/customers", "verdict", whole=True
     )
 
     carried = [c for c in documents.columns if c != "doc_id"]
@@ -106,7 +109,7 @@ def prepare(spark: SparkSession, root: str, out: str, csv: bool = False) -> None
     lines = star.enriched_lines(lineitem, orders, customer, part, nation, region)
     by_year = lines.withColumn("order_year", F.year("o_orderdate"))
     # A few years in the widest table there is: not worth shuffling it once more.
-    sinks.write_partitioned(by_year, f"{out}/lines", "order_year", gather=False)
+    sinks.write_partitioned(by_year, f"{out}/lines", "order_year", gather=False, whole=True)
 
 
 def analyse(spark: SparkSession, root: str, out: str) -> None:

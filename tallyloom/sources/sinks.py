@@ -7,9 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def write_partitioned(df: DataFrame, path: str, by: str, gather: bool = True) -> None:
-    """Write ``df`` partitioned by ``by``; only the partitions present in ``df``
-    are replaced, so a rerun of one period leaves the others alone.
+def write_partitioned(
+    df: DataFrame, path: str, by: str, gather: bool = True, whole: bool = False
+) -> None:
+    """Write ``df`` partitioned by ``by``. Only the partitions present in ``df``
+    are replaced, so a rerun of one period leaves the others alone; with
+    ``whole`` the table is replaced, so no partition of an earlier run stays.
 
     With ``gather`` a rebalance hint brings each partition value into few files,
     and AQE splits a value that holds much of the table over several tasks.
@@ -19,7 +22,7 @@ def write_partitioned(df: DataFrame, path: str, by: str, gather: bool = True) ->
     rows = df.hint("rebalance", by) if gather else df
     (
         rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(by)
         .parquet(path)
     )

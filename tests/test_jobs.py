@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tallyloom import jobs
@@ -89,11 +90,23 @@ def test_nothing_lost(spark, prepared, delivered):
     assert lines.count() == read_table(spark, source, "lineitem").count()
 
 
-def test_prepare_again_changes_nothing(spark, prepared, delivered):
+def test_prepare_again_replaces_everything(spark, prepared, delivered, tmp_path):
     folder, _ = delivered
     before = spark.read.parquet(f"{prepared}/parquet/lines").count()
-    jobs.prepare(spark, f"{folder}/parquet", f"{prepared}/parquet")
-    assert spark.read.parquet(f"{prepared}/parquet/lines").count() == before
+    jobs.generate(spark, f"{tmp_path}/other", 400, seed=3)
+    jobs.prepare(spark, f"{tmp_path}/other", f"{tmp_path}/out")
+    jobs.prepare(spark, f"{folder}/parquet", f"{tmp_path}/out")
+    assert spark.read.parquet(f"{tmp_path}/out/lines").count() == before
+    customers = spark.read.parquet(f"{tmp_path}/out/customers")
+    assert customers.count() == customers.select("c_custkey").distinct().count()
+
+
+def test_generate_does_not_overwrite_unasked(spark, tmp_path):
+    jobs.generate(spark, str(tmp_path), 20)
+    with pytest.raises(AnalysisException):
+        jobs.generate(spark, str(tmp_path), 20)
+    jobs.generate(spark, str(tmp_path), 30, overwrite=True)
+    assert read_table(spark, str(tmp_path), "orders").count() == 30
 
 
 def test_analyse_and_report(spark, delivered, tmp_path):

@@ -222,6 +222,14 @@ def test_only_the_written_partitions_are_replaced(spark, tmp_path, gather):
     assert rows(spark.read.schema(df.schema).parquet(path)) == [(1, 1995), (4, 1996)]
 
 
+def test_the_whole_table_is_replaced(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    sinks.write_partitioned(spark.createDataFrame([(1, 1995)], "k int, y int"), path, "y")
+    again = spark.createDataFrame([(4, 1996)], "k int, y int")
+    sinks.write_partitioned(again, path, "y", whole=True)
+    assert rows(spark.read.schema(again.schema).parquet(path)) == [(4, 1996)]
+
+
 @pytest.mark.parametrize("fmt", ["csv", "json"])
 def test_report_is_one_ordered_file(spark, tmp_path, fmt):
     df = spark.range(1000).repartition(8).select("id", (-F.col("id")).alias("neg"))
