@@ -31,10 +31,6 @@ FIRST_ORDER_DAY, N_ORDER_DAYS = "1995-01-01", 2404
 FIRST_EVENT_DAY, N_EVENT_DAYS = "2024-01-01", 30
 
 
-def ids(spark: SparkSession, n: int) -> DataFrame:
-    return spark.range(n)
-
-
 def regions(spark: SparkSession) -> DataFrame:
     key = F.col("id").cast("int")
     names = F.array(*[F.lit(r) for r in REGIONS])
@@ -53,7 +49,10 @@ def nations(spark: SparkSession) -> DataFrame:
 
 
 def _label(prefix: str, row_id: Column) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(row_id.cast("string"), 9, "0"))
+    digits = row_id.cast("string")
+    # lpad cuts what is longer than the width asked for.
+    width = F.greatest(F.lit(9), F.length(digits))
+    return F.concat(F.lit(prefix), F.lpad(digits, width, F.lit("0")))
 
 
 def customers(ids: DataFrame, seed: int) -> DataFrame:

@@ -8,8 +8,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.functions import money, text_keys
-from tallyloom.operators import duplicates, profile, quality, ranking, reporting, trends
+from tallyloom.functions import draws, money, text_keys
+from tallyloom.operators import duplicates, generator, profile, quality, ranking, reporting, trends
 from tallyloom.sources import csv_files, sinks
 from tallyloom.sources.tables import read_table, schema_of
 
@@ -113,6 +113,23 @@ def test_cents_round_to_the_nearest(spark, value, text):
     assert str(df.agg(money.total_cents(money.cents("x"))).first()[0]) == text
 
 
+# generator
+
+
+def test_names_of_large_ids_stay_distinct(spark):
+    ids = spark.createDataFrame([(7,), (1_234_567_890_123,)], "id bigint")
+    names = [r["c_name"] for r in generator.customers(ids, 1).collect()]
+    assert names == ["Customer#000000007", "Customer#1234567890123"]
+
+
+def test_parent_keys_stay_in_range(spark):
+    n_parents = 3_000_000_000
+    keys = spark.range(20_000).select(draws.parent_key(1, "k", F.col("id"), n_parents).alias("k"))
+    low, high, n = keys.agg(F.min("k"), F.max("k"), F.count_distinct("k")).first()
+    assert 0 <= low < 0.01 * n_parents and 0.99 * n_parents < high < n_parents
+    assert n > 19_990
+
+
 # profile
 
 
