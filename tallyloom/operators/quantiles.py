@@ -84,9 +84,13 @@ def quantiles_by_key(
     limit = GROUP_LIMIT if limit is None else limit
     rows = _values(df, value, group_key(by))
     sizes = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
-    hot = written(sizes.where(F.col("_n") > limit).select("_key"), "quantile-hot-groups")
-    if hot.isEmpty():
+    hot = written(sizes.where(F.col("_n") > limit), "quantile-hot-groups")
+    n_hot = hot.agg(F.sum("_n")).first()[0]
+    if not n_hot:
         return _buffered(rows, probs)
+    if n_hot == rows.count():
+        return _narrowed(rows, probs, limit)
+    hot = hot.select("_key")
     in_small = rows.join(hot, "_key", "left_anti")
     in_hot = rows.join(hot, "_key", "left_semi")
     return _buffered(in_small, probs).unionByName(_narrowed(in_hot, probs, limit))
