@@ -15,11 +15,20 @@ SETTINGS = {
 }
 
 
+# What Spark sets spark.sql.shuffle.partitions to when nobody does.
+_SHUFFLE_KEY, _SHUFFLE_DEFAULT = "spark.sql.shuffle.partitions", "200"
+
+
+def shuffle_partitions(cores: int) -> int:
+    """A number to start shuffles with on a cluster; AQE coalesces it by size."""
+    return max(2_000, 4 * cores)
+
+
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     """Start or reuse a session. Leave ``master`` unset under spark-submit.
 
-    ``spark.sql.shuffle.partitions`` is left to the caller: on a cluster set it
-    high (a few times the core count) and let AQE coalesce.
+    On a cluster the number of shuffle partitions is raised unless it was set:
+    too many are coalesced, too few would not fit in memory.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -28,4 +37,8 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    on_cluster = not spark.sparkContext.master.startswith("local")
+    if on_cluster and spark.conf.get(_SHUFFLE_KEY) == _SHUFFLE_DEFAULT:
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set(_SHUFFLE_KEY, str(shuffle_partitions(cores)))
     return spark
