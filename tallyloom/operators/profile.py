@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -45,10 +46,23 @@ def group_profile(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
 
 
 def column_profiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """:func:`profile` of several columns, one row each, in the scans one would take."""
-    values = [F.col(c).cast("double").alias(c) for c in columns]
-    return group_profile(
-        df.select(*values).unpivot([], list(columns), "column_name", "value"), "value", ["column_name"]
+    """:func:`profile` of several columns, one row each.
+
+    The moments of all columns take one scan; the quartiles of a column scan
+    that column alone.
+    """
+    names = ["n", "mean", "sd", "min", "max"]
+    per_column = [F.struct(F.lit(c).alias("column_name"), *_moments(c)) for c in columns]
+    moments = df.agg(F.array(*per_column).alias("rows")).select(F.inline("rows"))
+    quartiles = reduce(
+        DataFrame.unionByName,
+        [
+            exact_quantiles(df, c, QUARTILES).withColumn("column_name", F.lit(c))
+            for c in columns
+        ],
+    )
+    return moments.join(quartiles, "column_name", "left").select(
+        "column_name", *names, "p25", "p50", "p75"
     )
 
 

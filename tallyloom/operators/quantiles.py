@@ -1,8 +1,12 @@
 """Exact interpolated quantiles that do not gather a group in one task.
 
-``percentile`` keeps every distinct value of a group in one buffer. That is
-right for groups of bounded size and is what groups up to ``limit`` rows use
-here. For a larger group the wanted ranks are narrowed first:
+``percentile`` keeps every distinct value of a group, with its count, in one
+buffer. Three ways keep that buffer small; each group takes the first that fits:
+
+buffered  Groups of up to ``limit`` rows: ``percentile`` as it is.
+counted   Groups of up to ``limit`` distinct values: rows are counted per value
+          first, in parallel, and ``percentile`` weighs the values.
+narrowed  All others. The wanted ranks are narrowed until few values are left:
 
 1. Sketches give, per group, two values (marks) around each wanted rank.
 2. One pass counts the rows between those marks and lists, with counts, only
@@ -22,16 +26,19 @@ the others, splitting a hot group's partition. No hint overrides that.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.sources.scratch import written
 
-# Rows one buffer may hold: of the whole table, or of a group. A task may have up
-# to 128 group buffers open before Spark turns to sorting, hence the lower figure.
-WHOLE_LIMIT = 1_000_000
-GROUP_LIMIT = 50_000
+# Entries one group's buffer may hold. A task may have up to 128 of them open before
+# Spark turns to sorting.
+LIMIT = 50_000
+# Buffers that hold no more than this many times the limit together are no risk,
+# whatever the size of one.
+TOGETHER = 20
 # A sketch per task is merged in PIECES reducers per group, each of which passes on
 # GRID + 1 evenly spaced quantiles; the rank error of the marks made of them is
 # about 1/ACCURACY + 1/GRID.
@@ -63,37 +70,58 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group: ``by`` columns and one column per quantile (p25, p50, ...).
 
-    Null values are left out; a null group is a group. Whether groups beyond
-    ``limit`` rows exist, and their marks, is found by jobs run right away.
+    Null values are left out; a null group is a group. Which way each group
+    takes, and its marks, is found by jobs run right away.
     """
     if by:
         return quantiles_by_key(df, value, probs, by, limit).select(
             "_key.*", *[quantile_name(p) for p in probs]
         )
-    limit = WHOLE_LIMIT if limit is None else limit
+    limit = LIMIT if limit is None else limit
     rows = _values(df, value, F.struct(F.lit(0).alias("_all")).alias("_key"))
-    if rows.count() > limit:
-        return _narrowed(rows, probs, limit, grouped=False).drop("_key")
-    return _buffered(rows, probs).drop("_key")
+    n, distinct = rows.agg(F.count(F.lit(1)), F.approx_count_distinct("_v")).first()
+    if n <= TOGETHER * limit:
+        result = _buffered(rows, probs)
+    elif distinct <= TOGETHER * limit:
+        result = _counted(rows, probs)
+    else:
+        result = _narrowed(rows, probs, limit, grouped=False)
+    return result.drop("_key")
 
 
 def quantiles_by_key(
     df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str], limit: int | None = None
 ) -> DataFrame:
     """As :func:`exact_quantiles`, the group as :func:`group_key`."""
-    limit = GROUP_LIMIT if limit is None else limit
+    limit = LIMIT if limit is None else limit
     rows = _values(df, value, group_key(by))
+
     sizes = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
-    hot = written(sizes.where(F.col("_n") > limit), "quantile-hot-groups")
-    n_hot = hot.agg(F.sum("_n")).first()[0]
-    if not n_hot:
+    large = written(sizes.where(F.col("_n") > limit), "quantile-large-groups")
+    n_large = large.agg(F.sum("_n")).first()[0]
+    if not n_large:
         return _buffered(rows, probs)
-    if n_hot == rows.count():
-        return _narrowed(rows, probs, limit)
-    hot = hot.select("_key")
-    in_small = rows.join(hot, "_key", "left_anti")
-    in_hot = rows.join(hot, "_key", "left_semi")
-    return _buffered(in_small, probs).unionByName(_narrowed(in_hot, probs, limit))
+    parts = []
+    if n_large < rows.count():
+        parts.append(_buffered(rows.join(large, "_key", "left_anti"), probs))
+        rows = rows.join(large, "_key", "left_semi")
+
+    spread = written(
+        rows.groupBy("_key").agg(F.approx_count_distinct("_v").alias("_d")), "quantile-distinct"
+    )
+    is_wide = F.col("_d") > limit
+    total, n_wide, n_groups = spread.agg(
+        F.sum("_d"), F.count_if(is_wide), F.count(F.lit(1))
+    ).first()
+    if total <= TOGETHER * limit or n_wide == 0:
+        parts.append(_counted(rows, probs))
+    elif n_wide == n_groups:
+        parts.append(_narrowed(rows, probs, limit))
+    else:
+        wide = spread.where(is_wide)
+        parts.append(_counted(rows.join(wide, "_key", "left_anti"), probs))
+        parts.append(_narrowed(rows.join(wide, "_key", "left_semi"), probs, limit))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _values(df: DataFrame, value: str, key: Column) -> DataFrame:
@@ -101,8 +129,20 @@ def _values(df: DataFrame, value: str, key: Column) -> DataFrame:
 
 
 def _buffered(rows: DataFrame, probs: Sequence[float]) -> DataFrame:
-    values = F.percentile("_v", [float(p) for p in probs]).alias("_q")
-    return rows.groupBy("_key").agg(values).select(
+    return _as_columns(rows.groupBy("_key").agg(_percentiles(probs)), probs)
+
+
+def _counted(rows: DataFrame, probs: Sequence[float]) -> DataFrame:
+    weights = _weighed(rows, ["_key"])
+    return _as_columns(weights.groupBy("_key").agg(_percentiles(probs, F.col("_w"))), probs)
+
+
+def _percentiles(probs: Sequence[float], weight: Column | int = 1) -> Column:
+    return F.percentile("_v", [float(p) for p in probs], weight).alias("_q")
+
+
+def _as_columns(quantiles: DataFrame, probs: Sequence[float]) -> DataFrame:
+    return quantiles.select(
         "_key", *[F.col("_q")[i].alias(quantile_name(p)) for i, p in enumerate(probs)]
     )
 

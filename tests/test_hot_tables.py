@@ -48,8 +48,8 @@ def as_if_large(spark, monkeypatch):
     before = {k: spark.conf.get(k) for k in LARGE_TABLE_SETTINGS}
     for k, v in LARGE_TABLE_SETTINGS.items():
         spark.conf.set(k, v)
-    monkeypatch.setattr(quantiles, "GROUP_LIMIT", 500)
-    monkeypatch.setattr(quantiles, "WHOLE_LIMIT", 500)
+    monkeypatch.setattr(quantiles, "LIMIT", 500)
+    monkeypatch.setattr(quantiles, "TOGETHER", 1)
     yield
     for k, v in before.items():
         spark.conf.set(k, v)

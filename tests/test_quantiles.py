@@ -15,6 +15,26 @@ from tallyloom.sources.tables import read_table
 PROBS = (0.0, 0.25, 0.5, 0.9, 1.0)
 
 
+@pytest.fixture(autouse=True)
+def one_limit_for_all(monkeypatch):
+    monkeypatch.setattr(quantiles, "TOGETHER", 1)
+
+
+@pytest.fixture
+def ways(monkeypatch):
+    """The ways taken, in order."""
+    taken = []
+    for way in ("_buffered", "_counted", "_narrowed"):
+        original = getattr(quantiles, way)
+
+        def noted(*args, _way=way, _original=original, **kwargs):
+            taken.append(_way)
+            return _original(*args, **kwargs)
+
+        monkeypatch.setattr(quantiles, way, noted)
+    return taken
+
+
 def expected(values):
     return [float(v) for v in np.quantile(np.array(values, dtype=float), PROBS)]
 
@@ -43,8 +63,15 @@ def test_whole_table(values, column, limit):
     check(row, [r[0] for r in values.select(column).collect()])
 
 
-@pytest.mark.parametrize("limit", [40, 15_000, 100_000])
-def test_groups(values, limit):
+@pytest.mark.parametrize(
+    "limit, taken",
+    [
+        (40, ["_narrowed"]),
+        (15_000, ["_buffered", "_narrowed"]),
+        (25_000, ["_buffered"]),
+    ],
+)
+def test_groups(values, limit, taken, ways):
     rows = exact_quantiles(values, "l_extendedprice", PROBS, ["g"], limit=limit).collect()
     by_group = {}
     for g, v in values.select("g", "l_extendedprice").collect():
@@ -53,6 +80,27 @@ def test_groups(values, limit):
     assert len(rows) == len(by_group)
     for r in rows:
         check(r, by_group[r["g"]])
+    assert ways == taken
+
+
+def test_each_group_takes_its_way(spark, ways):
+    """Few rows; many rows of few values; many rows of many values."""
+    df = spark.range(3_000).select(
+        F.when(F.col("id") < 50, "small").when(F.col("id") < 1_500, "few").otherwise("many").alias("g"),
+        F.when(F.col("id") < 1_500, F.col("id") % 20).otherwise(F.col("id")).cast("double").alias("v"),
+    )
+    rows = exact_quantiles(df, "v", PROBS, ["g"], limit=100).collect()
+    assert ways == ["_buffered", "_counted", "_narrowed"]
+    check(next(r for r in rows if r["g"] == "small"), [i % 20 for i in range(50)])
+    check(next(r for r in rows if r["g"] == "few"), [i % 20 for i in range(50, 1_500)])
+    check(next(r for r in rows if r["g"] == "many"), range(1_500, 3_000))
+
+
+@pytest.mark.parametrize("limit, way", [(70_000, "_buffered"), (60, "_counted"), (40, "_narrowed")])
+def test_the_whole_takes_its_way(values, ways, limit, way):
+    row = exact_quantiles(values, "l_quantity", PROBS, limit=limit).first()
+    check(row, [r[0] for r in values.select("l_quantity").collect()])
+    assert ways == [way]
 
 
 def test_bad_marks_do_not_change_the_result(values, monkeypatch):
@@ -62,7 +110,7 @@ def test_bad_marks_do_not_change_the_result(values, monkeypatch):
         return F.array(*[F.lit(float(-i)) for i in range(len(evenly), 0, -1)])
 
     monkeypatch.setattr(quantiles.F, "percentile_approx", misplaced)
-    row = exact_quantiles(values, "l_quantity", PROBS, limit=100).first()
+    row = exact_quantiles(values, "l_quantity", PROBS, limit=30).first()
     check(row, [r[0] for r in values.select("l_quantity").collect()])
 
 
@@ -71,7 +119,7 @@ def test_hot_groups_without_broadcast(spark, values):
     before = spark.conf.get(key)
     spark.conf.set(key, "-1")
     try:
-        rows = exact_quantiles(values, "l_quantity", PROBS, ["g"], limit=1000).collect()
+        rows = exact_quantiles(values, "l_quantity", PROBS, ["g"], limit=30).collect()
     finally:
         spark.conf.set(key, before)
     by_group = {}
