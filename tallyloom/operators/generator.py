@@ -136,14 +136,16 @@ def events(ids: DataFrame, seed: int, n_users: Column | int, hot_share: float =
     i = F.col("id")
     day = moment(seed, "ts", i, FIRST_EVENT_DAY, N_EVENT_DAYS)
     second = whole(seed, "ts/second", i, 0, 86_399)
-    # A squared draw: most values small, a long tail of large ones.
+    # The fourth power of a draw: most values small, some far outside the quartiles.
     step = whole(seed, "value", i, 0, 22_000)
+    square = (step * step / 10_000).cast("bigint")
+    cents = (square * square / 48_400).cast("bigint")
     return ids.select(
         i.alias("event_id"),
         (day + F.make_dt_interval(secs=second)).alias("ts"),
         parent_key(seed, "user_id", i, n_users, hot_share).alias("user_id"),
         choice(seed, "event_type", i, EVENT_TYPES).alias("event_type"),
-        ((step * step / 10_000).cast("bigint").cast("double") / 100.0).alias("value"),
+        (cents.cast("double") / 100.0).alias("value"),
         F.format_string('{"k": %d}', whole(seed, "props", i, 0, 99)).alias("props"),
     )
 

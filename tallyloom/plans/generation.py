@@ -142,13 +142,14 @@ SELECT {_parent("l_orderkey", "orders")} AS l_orderkey,
 
 EVENTS_SQL = f"""
 WITH i AS (SELECT event_id AS id FROM events),
-     s AS (SELECT *, {_whole("value", 0, 22_000)} AS step FROM i)
+     s AS (SELECT *, {_whole("value", 0, 22_000)} AS step FROM i),
+     v AS (SELECT *, step * step // 10000 AS square FROM s)
 SELECT id AS event_id,
        CAST({_day("ts", "2024-01-01", 30)} + to_seconds({_whole("ts/second", 0, 86_399)}) AS VARCHAR) AS ts,
        {_parent("user_id", "customer")} AS user_id,
        {_choice("event_type", generator.EVENT_TYPES)} AS event_type,
-       CAST(step * step // 10000 AS DOUBLE) / CAST(100 AS DOUBLE) AS value,
-       '{{"k": ' || {_whole("props", 0, 99)} || '}}' AS props FROM s
+       CAST(square * square // 48400 AS DOUBLE) / CAST(100 AS DOUBLE) AS value,
+       '{{"k": ' || {_whole("props", 0, 99)} || '}}' AS props FROM v
 """
 
 _TEXT_WORDS = " || ' ' || ".join(_choice(f"text/{n}", generator.WORDS, "origin") for n in range(8))

@@ -62,7 +62,7 @@ def test_tables_are_hot(spark, hot):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_equals_sql(spark, hot, duck, as_if_large, name):
-    assert_same(runner(name)(spark, hot), duck, QUERIES[name].sql)
+    assert assert_same(runner(name)(spark, hot), duck, QUERIES[name].sql) > 0
 
 
 def test_hot_partitions_are_split(spark, hot, as_if_large):

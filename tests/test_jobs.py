@@ -90,6 +90,13 @@ def test_nothing_lost(spark, prepared, delivered):
     assert lines.count() == read_table(spark, source, "lineitem").count()
 
 
+def test_a_year_of_lines_is_read_alone(spark, prepared):
+    year = spark.read.parquet(f"{prepared}/parquet/lines").where("order_year = 1997")
+    plan = year._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_year" in plan
+    assert year.select(F.year("o_orderdate")).distinct().collect() == [(1997,)]
+
+
 def test_prepare_again_replaces_everything(spark, prepared, delivered, tmp_path):
     folder, _ = delivered
     before = spark.read.parquet(f"{prepared}/parquet/lines").count()
