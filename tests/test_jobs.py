@@ -112,7 +112,7 @@ def test_generate_does_not_overwrite_unasked(spark, tmp_path):
     jobs.generate(spark, str(tmp_path), 20)
     with pytest.raises(AnalysisException):
         jobs.generate(spark, str(tmp_path), 20)
-    jobs.generate(spark, str(tmp_path), 30, overwrite=True)
+    main(["generate", str(tmp_path), "--orders", "30", "--overwrite"])
     assert read_table(spark, str(tmp_path), "orders").count() == 30
 
 
