@@ -37,9 +37,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/tallyloom/{app}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
