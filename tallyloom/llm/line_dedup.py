@@ -1,13 +1,17 @@
-"""Repeated lines, kept where they first occur.
+"""Repeated lines and passages, kept where they first occur.
 
-Each line is normalised (lower case, runs of white space as one space) and
-hashed; digests are grouped over all documents; the earliest occurrence, by
+Texts are divided into units: paragraphs, lines, or lines divided at the ends of
+sentences. Each unit is normalised (lower case, runs of white space as one space)
+and hashed; digests are grouped over all documents; the earliest occurrence, by
 document id and then place, stays and all others are cut out of their texts.
+Sentences are the default, as a passage that documents share often lies inside
+a longer line.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,19 +21,43 @@ from pyspark.sql import functions as F
 
 from tallyloom.sources.scratch import written
 
-# Lines of fewer words are not compared: headings, list marks, closing lines.
+# Units of fewer words are not compared: headings, list marks, closing lines.
 MIN_WORDS = 5
-SEPARATORS = {"line": "\n", "paragraph": "\n\n"}
+SEPARATORS = {"sentence": "\n", "line": "\n", "paragraph": "\n\n"}
+SENTENCE_END = re.compile(r"[.!?]+(?=[ \t])")
 UNIT_SCHEMA = (
-    "doc_id long, text_key long, start int, length int, h1 long, h2 long, first_in_doc boolean"
+    "doc_id long, text_key long, start int, length int, h1 long, h2 int, first_in_doc boolean"
 )
 
 
-def units(documents: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """Every line (or paragraph) of ``min_words`` words or more: where it starts
-    and how long it is in characters, its separator included, with a 128-bit
-    digest of its normalised text. Null and empty texts have none."""
+def unit_spans(text: str, unit: str, min_words: int) -> Iterator[tuple[int, int, list[str]]]:
+    """(start, end, words in lower case) of the units of a text that have
+    ``min_words`` words or more.
+
+    A unit that is a whole line or paragraph ends after its separator. A sentence
+    ends before the next one; one of too few words is joined to the next in its
+    line, so that after one long sentence two copies of a passage are divided
+    alike whatever surrounds them.
+    """
     separator = SEPARATORS[unit]
+    at = 0
+    for line in text.split(separator):
+        end = min(at + len(line) + len(separator), len(text))
+        marks = [m.end() for m in SENTENCE_END.finditer(line)] if unit == "sentence" else []
+        begin = 0
+        for mark in marks + [len(line)]:
+            words = line[begin:mark].lower().split()
+            if len(words) >= min_words:
+                whole = begin == 0 and mark == len(line)
+                yield at + begin, end if whole else at + mark, words
+                begin = mark
+        at = end
+
+
+def units(documents: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
+    """Every unit of ``min_words`` words or more: where it starts and how long it
+    is in characters, with a 96-bit digest of its normalised text. Null and empty
+    texts have none."""
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
@@ -37,36 +65,34 @@ def units(documents: DataFrame, unit: str = "line", min_words: int = MIN_WORDS)
             ("start", pa.int32()),
             ("length", pa.int32()),
             ("h1", pa.int64()),
-            ("h2", pa.int64()),
+            ("h2", pa.int32()),
             ("first_in_doc", pa.bool_()),
         ]
     )
+    digest_type = np.dtype([("h1", "<i8"), ("h2", "<i4")])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys, starts, lengths, firsts = [], [], [], [], []
-            digests = []
+            ids, keys, starts, lengths, firsts, digests = [], [], [], [], [], []
             rows = zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)
             for doc_id, key, text in rows:
                 seen = set()
-                at = 0
-                for line in (text or "").split(separator):
-                    size = min(len(line) + len(separator), len(text) - at) if text else 0
-                    words = line.lower().split()
-                    if len(words) >= min_words:
-                        digest = hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()
-                        ids.append(doc_id)
-                        keys.append(key)
-                        starts.append(at)
-                        lengths.append(size)
-                        digests.append(digest)
-                        firsts.append(digest not in seen)
-                        seen.add(digest)
-                    at += size
-            halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
-            columns = [ids, keys, starts, lengths, halves[:, 0], halves[:, 1], firsts]
+                for start, end, words in unit_spans(text or "", unit, min_words):
+                    digest = hashlib.blake2b(" ".join(words).encode(), digest_size=12).digest()
+                    ids.append(doc_id)
+                    keys.append(key)
+                    starts.append(start)
+                    lengths.append(end - start)
+                    digests.append(digest)
+                    firsts.append(digest not in seen)
+                    seen.add(digest)
+            halves = np.frombuffer(b"".join(digests), dtype=digest_type)
+            columns = [ids, keys, starts, lengths, halves["h1"], halves["h2"], firsts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)],
+                [
+                    pa.array(np.ascontiguousarray(c) if isinstance(c, np.ndarray) else c, f.type)
+                    for c, f in zip(columns, schema, strict=True)
+                ],
                 schema=schema,
             )
 
@@ -76,12 +102,14 @@ def units(documents: DataFrame, unit: str = "line", min_words: int = MIN_WORDS)
     return rows.mapInArrow(split, UNIT_SCHEMA)
 
 
-def repeated_spans(documents: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """For each document with lines to remove: doc_id, text_key and ``removed``, an
+def repeated_spans(
+    documents: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS
+) -> DataFrame:
+    """For each document with units to remove: doc_id, text_key and ``removed``, an
     array of (start, length, kept_doc_id) in the original text, by start.
 
     A digest is one row per task in the aggregation; its occurrences are joined
-    to the first one as plain tables, so that a line that a third of all rows
+    to the first one as plain tables, so that a unit that a third of all rows
     share is split over tasks. Rows that repeat an id and its text are the same
     document. A null id comes last.
     """
@@ -119,13 +147,13 @@ def cut(text: Column, spans: Column) -> Column:
 
 
 def without_repeats(
-    documents: DataFrame, unit: str = "line", min_words: int = MIN_WORDS
+    documents: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS
 ) -> DataFrame:
-    """All rows and columns of ``documents`` with repeated lines cut from ``text``,
+    """All rows and columns of ``documents`` with repeated units cut from ``text``,
     plus ``removed`` (spans of the original text; empty if nothing was cut).
 
     Texts without repeats, null ones included, are as they were. A text all of
-    whose lines occur earlier becomes empty; its row stays.
+    whose units occur earlier may become empty; its row stays.
     """
     spans = repeated_spans(documents, unit, min_words).select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("removed").alias("_spans")

@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontamination, line_dedup, warc
+from tallyloom.llm import (
+    bestfit,
+    chat,
+    curve_packing,
+    decontamination,
+    line_dedup,
+    token_spans,
+    warc,
+)
 from tallyloom.sources.scratch import scratch_path
 from tallyloom.sources.tables import read_table
 
@@ -44,6 +52,23 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM grouped
 """
 
+
+
+def op3_best_fit_packing(spark: SparkSession, root: str) -> DataFrame:
+    path = scratch_path(spark, "matrices")
+    bestfit.write_matrices(read_table(spark, root, "documents"), path)
+    return bestfit.read_matrices(spark, path).select(
+        "sequence_id",
+        "n_tokens",
+        F.size("doc_ids").alias("n_segments"),
+        F.crc32("ids").alias("row_crc32"),
+        "doc_ids",
+        "starts",
+        "cu_seqlens",
+        "position_resets",
+    )
+
+
 # A conversation whose texts hold control strings.
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
 
@@ -113,6 +138,14 @@ def op6_line_dedup(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def op7_curve_packing(spark: SparkSession, root: str) -> DataFrame:
+    return curve_packing.packed(read_table(spark, root, "documents"), with_ids=False).drop("ids")
+
+
+def op8_token_attribution(spark: SparkSession, root: str) -> DataFrame:
+    return token_spans.token_counts(read_table(spark, root, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, root: str) -> DataFrame:
     found = decontamination.contamination(
         read_table(spark, root, "documents"), read_table(spark, root, "benchmark")
@@ -165,8 +198,11 @@ FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_revisits": op1_warc_revisits,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op5_chat_format": op5_chat_format,
     "op6_line_dedup": op6_line_dedup,
+    "op7_curve_packing": op7_curve_packing,
+    "op8_token_attribution": op8_token_attribution,
     "op10_decontamination": op10_decontamination,
 }
 SQL: dict[str, str] = {
