@@ -16,11 +16,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.llm.batches import pieces
 from tallyloom.llm.tokens import encoder, vocabulary_paths
 
 LENGTH = 1024
 # Tokens that a task gathers before it packs them: bounds its memory.
 WINDOW_TOKENS = 8_000_000
+# Rows handed to Spark at a time.
+OUT_ROWS = 1_000
 ROW_SCHEMA = (
     "sequence_id long, ids binary, n_tokens int, doc_ids array<long>, starts array<long>, "
     "cu_seqlens array<int>, position_resets array<int>"
@@ -134,11 +137,13 @@ def packed_rows(
             rows.append((next_id, ids.tobytes(), ends[-1], docs, starts, ends, ends[:-1]))
             next_id += 1
 
-        def pack_rests() -> None:
+        def pack_rests() -> Iterator[pa.RecordBatch]:
             nonlocal rests, held
             lengths = np.array([len(r[2]) for r in rests], dtype=np.int64)
             for row in best_fit_decreasing(lengths, length):
                 close([rests[k] for k in row])
+                if len(rows) >= OUT_ROWS:
+                    yield out()
             rests, held = [], 0
 
         def out() -> pa.RecordBatch:
@@ -150,7 +155,7 @@ def packed_rows(
                 schema=schema,
             )
 
-        for batch in batches:
+        for batch in pieces(batches):
             ids_texts = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
             for doc_id, text in ids_texts:
                 ids = np.append(tokens_of(text or ""), last).astype("<u2")
@@ -158,13 +163,13 @@ def packed_rows(
                 for at in range(0, whole, length):
                     close([(doc_id, at, ids[at : at + length])])
                 if whole < len(ids):
-                    rests.append((doc_id, whole, ids[whole:]))
+                    rests.append((doc_id, whole, ids[whole:].copy()))
                     held += len(ids) - whole
                 if held >= WINDOW_TOKENS:
-                    pack_rests()
-                while len(rows) > 2_000:
+                    yield from pack_rests()
+                if len(rows) >= OUT_ROWS:
                     yield out()
-        pack_rests()
+        yield from pack_rests()
         yield out()
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.batches import pieces
 from tallyloom.llm.tokens import encoder, vocabulary_paths
 from tallyloom.llm.words import mix, seed
 from tallyloom.sources.scratch import written
@@ -83,9 +84,7 @@ def curve_keys(documents: list[np.ndarray], dimensions: int, bits: int, buckets:
     return hilbert_keys(grid.astype(np.int64), bits)
 
 
-def tokenised(
-    documents: DataFrame, paths: tuple[str, str], end_id: int | None, keyed: bool
-) -> DataFrame:
+def tokenised(documents: DataFrame, paths: tuple[str, str], end_id: int | None) -> DataFrame:
     """(row, doc_id, n, curve, ids) of every document: ids as little-endian 16-bit
     numbers, with ``end_id`` after them; a null text is empty. ``row`` tells
     repeated rows apart."""
@@ -102,24 +101,17 @@ def tokenised(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens_of = encoder(paths)
-        for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.slice(at, 500)
-                ids = [
-                    np.append(tokens_of(t or ""), last).astype("<u2")
-                    for t in part.column(2).to_pylist()
-                ]
-                curve = (
-                    curve_keys(ids, DIMENSIONS, BITS, BUCKETS) if keyed else np.zeros(len(ids), "i8")
-                )
-                columns = [
-                    part.column(0),
-                    part.column(1),
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array(curve, pa.int64()),
-                    pa.array([x.tobytes() for x in ids], pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        for batch in pieces(batches):
+            texts = batch.column(2).to_pylist()
+            ids = [np.append(tokens_of(t or ""), last).astype("<u2") for t in texts]
+            columns = [
+                batch.column(0),
+                batch.column(1),
+                pa.array([len(x) for x in ids], pa.int64()),
+                pa.array(curve_keys(ids, DIMENSIONS, BITS, BUCKETS), pa.int64()),
+                pa.array([x.tobytes() for x in ids], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     rows = documents.select(
         F.monotonically_increasing_id().alias("row"),
@@ -193,7 +185,7 @@ def packed(
     tasks.
     """
     paths = paths or vocabulary_paths()
-    ids = written(tokenised(documents, paths, end_id, keyed=True), "token-ids", "zstd")
+    ids = written(tokenised(documents, paths, end_id), "token-ids", "zstd")
     total = ids.agg(F.sum("n")).first()[0] or 0
     tasks = max(1, -(-total // TASK_TOKENS))
     order = ["curve", "doc_id", "row"]
@@ -216,7 +208,7 @@ def packed(
                 schema=schema,
             )
 
-        for batch in batches:
+        for batch in pieces(batches):
             for doc_id, data in zip(
                 batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True
             ):

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.batches import pieces
 from tallyloom.sources.scratch import written
 
 # Units of fewer words are not compared: headings, list marks, closing lines.
@@ -72,7 +73,7 @@ def units(documents: DataFrame, unit: str = "sentence", min_words: int = MIN_WOR
     digest_type = np.dtype([("h1", "<i8"), ("h2", "<i4")])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             ids, keys, starts, lengths, firsts, digests = [], [], [], [], [], []
             rows = zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)
             for doc_id, key, text in rows:

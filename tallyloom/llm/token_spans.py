@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.batches import pieces
 from tallyloom.llm.tokens import encoder, token_byte_lengths, vocabulary_paths
 
 SPAN_SCHEMA = (
@@ -83,7 +84,7 @@ def token_counts(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens_of, sizes = encoder(paths), token_byte_lengths(paths)
-        for batch in batches:
+        for batch in pieces(batches):
             out: list[list] = [[] for _ in schema]
             for doc_id, *texts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 parts = [(t or "") + "\n" for t in texts]
