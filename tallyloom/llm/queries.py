@@ -13,6 +13,7 @@ from tallyloom.llm import (
     curve_packing,
     decontamination,
     line_dedup,
+    ngram_join,
     token_spans,
     warc,
 )
@@ -54,6 +55,40 @@ FROM grouped
 
 
 
+def op2_ngram_jaccard(spark: SparkSession, root: str) -> DataFrame:
+    return ngram_join.jaccard_components(read_table(spark, root, "documents"), n=4, percent=85)
+
+
+OP2_SQL = r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 4) - 1], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i
+          FROM texts WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id != b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * c >= 85 * (x.n + y.n - c)
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM texts
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT t.doc_id, coalesce(n, 0) AS n_shingles,
+       (SELECT min(b) FROM reach WHERE reach.a = t.doc_id) AS component_id
+FROM texts t LEFT JOIN sizes USING (doc_id)
+"""
+
+
 def op3_best_fit_packing(spark: SparkSession, root: str) -> DataFrame:
     path = scratch_path(spark, "matrices")
     bestfit.write_matrices(read_table(spark, root, "documents"), path)
@@ -198,6 +233,7 @@ FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_revisits": op1_warc_revisits,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_chat_format": op5_chat_format,
     "op6_line_dedup": op6_line_dedup,
@@ -207,6 +243,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 SQL: dict[str, str] = {
     "op1_warc_revisits": OP1_SQL,
+    "op2_ngram_jaccard": OP2_SQL,
     "op5_chat_format": OP5_SQL,
     "op10_decontamination": OP10_SQL,
 }
