@@ -19,7 +19,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     plain tables. Each round's tables are written to the shared folder.
     """
     edges = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
-    edges = edges.where("a IS NOT NULL AND b IS NOT NULL")
+    edges = written(edges.where("a IS NOT NULL AND b IS NOT NULL"), "edges")
     labels = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -409,7 +409,7 @@ def jaccard_components(documents: DataFrame, n: int = N, percent: int = PERCENT)
         sets.select("h1", "h2", "rep"), ["h1", "h2"]
     )
     same = same.where("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    linked = connected_components(written(edges.union(same), "links"))
+    linked = connected_components(edges.union(same))
     out = rows.join(
         linked.select(F.col("id").alias("_id"), "component"), F.col("doc_id") == F.col("_id"), "left"
     )
