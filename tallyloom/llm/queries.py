@@ -15,6 +15,7 @@ from tallyloom.llm import (
     line_dedup,
     ngram_join,
     token_spans,
+    vector_dedup,
     warc,
 )
 from tallyloom.sources.scratch import scratch_path
@@ -181,6 +182,33 @@ def op8_token_attribution(spark: SparkSession, root: str) -> DataFrame:
     return token_spans.token_counts(read_table(spark, root, "documents"))
 
 
+def op9_vector_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return vector_dedup.cosine_components(read_table(spark, root, "embeddings"))
+
+
+OP9_SQL = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), usable AS (
+    SELECT * FROM vectors
+    WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(v, lambda x: x != 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id != b.vec_id
+    WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM vectors
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), components AS (
+    SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT c.vec_id, (SELECT count(*) FROM links WHERE links.a = c.vec_id) AS n_links,
+       component_id, c.vec_id = component_id AS kept
+FROM components c
+"""
+
+
 def op10_decontamination(spark: SparkSession, root: str) -> DataFrame:
     found = decontamination.contamination(
         read_table(spark, root, "documents"), read_table(spark, root, "benchmark")
@@ -239,11 +267,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_dedup": op6_line_dedup,
     "op7_curve_packing": op7_curve_packing,
     "op8_token_attribution": op8_token_attribution,
+    "op9_vector_dedup": op9_vector_dedup,
     "op10_decontamination": op10_decontamination,
 }
 SQL: dict[str, str] = {
     "op1_warc_revisits": OP1_SQL,
     "op2_ngram_jaccard": OP2_SQL,
     "op5_chat_format": OP5_SQL,
+    "op9_vector_dedup": OP9_SQL,
     "op10_decontamination": OP10_SQL,
 }
