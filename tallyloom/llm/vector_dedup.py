@@ -164,8 +164,7 @@ def cosine_components(vectors: DataFrame, threshold: float = THRESHOLD) -> DataF
     """
     valid = vectors.where("vec_id IS NOT NULL").where(usable(F.col("embedding")))
     valid = valid.select(
-        F.col("vec_id").cast("long").alias("vec_id"),
-        F.col("embedding").cast("array<double>").alias("embedding"),
+        F.col("vec_id").cast("long").alias("vec_id"), "embedding"
     )
     valid = written(valid, "vectors")
     reps = valid.groupBy("embedding").agg(
