@@ -43,3 +43,12 @@ def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame
     path = scratch_path(spark, label)
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table under the scratch folder that no later step reads."""
+    if "/tallyloom/" not in path:
+        raise ValueError(f"{path} is not a scratch table")
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
