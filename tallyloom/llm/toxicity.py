@@ -26,11 +26,14 @@ from pyspark.sql import functions as F
 from tallyloom.llm.batches import pieces
 from tallyloom.sources.scratch import written
 
-# Bounds of the fit: examples of each label, terms, and what a term must show
-# (documents, and the G statistic of its association with the label).
-EXAMPLES, TERMS, MIN_EXAMPLES, MIN_G = 4_000, 2_000, 4, 18.0
+# Bounds of the fit: examples of each label, terms, and what a term must show:
+# the examples that hold it, the G statistic of its association with the label,
+# and the share of documents above which a word is too common to tell anything.
+EXAMPLES, TERMS, MIN_EXAMPLES, MIN_G, COMMON = 4_000, 2_000, 5, 25.0, 0.1
 NEIGHBOURS, BLOCK, PREFIX = 16, 64, 5
 THRESHOLD = 0.7
+# Cosines this close are ties.
+ROUNDING = 1e-12
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -68,19 +71,17 @@ class Model:
         self.order = filled
         self.toxic = np.array([toxic[k] for k in filled], dtype=float)
         self.blocks = max(1, -(-len(filled) // BLOCK))
-        posted: dict[int, list[tuple[int, float]]] = {}
-        for place, k in enumerate(filled):
-            for term, w in vectors[k].items():
-                posted.setdefault(term, []).append((place, w))
-        # For each term: places, weights, where each block begins, and block maxima.
-        self.postings = {}
-        for term, entries in posted.items():
-            places = np.array([p for p, _ in entries])
-            weights = np.array([w for _, w in entries])
-            begins = np.searchsorted(places, np.arange(self.blocks + 1) * BLOCK)
-            largest = np.zeros(self.blocks)
-            np.maximum.at(largest, places // BLOCK, weights)
-            self.postings[term] = (places, weights, begins, largest)
+        # Each block's entries (place in the block, term, weight) and, for each term,
+        # the largest weight in every block.
+        self.entries, self.largest = [], np.zeros((len(terms), self.blocks))
+        for block in range(self.blocks):
+            own = filled[block * BLOCK : (block + 1) * BLOCK]
+            rows = [(p, t, w) for p, k in enumerate(own) for t, w in vectors[k].items()]
+            places, ids, weights = (np.array(c) for c in zip(*rows, strict=True)) if rows else (
+                np.empty(0, int), np.empty(0, int), np.empty(0)
+            )
+            self.entries.append((places, ids, weights))
+            np.maximum.at(self.largest[:, block], ids, weights)
         # Labels of the examples without any term, and the calibration of the others.
         toxic, weight = np.array(toxic, dtype=float), np.array(weight, dtype=float)
         empty = np.array([not v for v in vectors], dtype=bool)
@@ -105,20 +106,23 @@ class Model:
 
     def nearest(self, vector: dict, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the nearest examples, ties by place."""
-        lists = [(w, *self.postings[t]) for t, w in vector.items() if t in self.postings]
-        if not lists:
-            return np.empty(0, dtype=int), np.empty(0)
-        bounds = sum(w * largest for w, _, _, _, largest in lists)
+        weights = np.zeros(len(self.terms))
+        held = np.fromiter(vector, dtype=np.int64)
+        weights[held] = np.fromiter(vector.values(), dtype=float)
+        bounds = weights[held] @ self.largest[held]
         places, scores = np.empty(0, dtype=int), np.empty(0)
         for block in np.argsort(-bounds, kind="stable"):
-            bound = bounds[block]
-            if bound <= 0 or (len(scores) == NEIGHBOURS and bound < scores[-1] - 1e-12):
+            bound, first = bounds[block], block * BLOCK
+            if bound <= 0:
                 break
-            own = np.zeros(BLOCK)
-            first = block * BLOCK
-            for w, at, weights, begins, _ in lists:
-                a, b = begins[block], begins[block + 1]
-                own[at[a:b] - first] += w * weights[a:b]
+            if len(scores) == NEIGHBOURS:
+                if bound < scores[-1] - ROUNDING:
+                    break
+                # As near as the last one at best, and behind it in order.
+                if bound <= scores[-1] + ROUNDING and first > places[-1]:
+                    continue
+            at, ids, own_weights = self.entries[block]
+            own = np.bincount(at, weights=own_weights * weights[ids], minlength=BLOCK)
             if without is not None and first <= without < first + BLOCK:
                 own[without - first] = 0
             some = np.flatnonzero(own > 0)
@@ -177,9 +181,10 @@ def _sample(documents: DataFrame, labels: DataFrame, examples: int) -> DataFrame
     )
 
 
-def _vocabulary(sample: DataFrame, terms: int) -> list[str]:
+def _vocabulary(sample: DataFrame, of_label: Counter, terms: int) -> list[str]:
     """The features that tell the labels apart best, by the G statistic of the
-    numbers of examples that hold them."""
+    numbers of examples that hold them, without words that are common in all
+    labelled documents (``of_label`` of each label)."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -216,8 +221,9 @@ def _vocabulary(sample: DataFrame, terms: int) -> list[str]:
         + part(t - b, (n - a) * t / n)
         + part(n - t - a + b, (n - a) * (n - t) / n)
     )
+    share = (b * (of_label[1] / t) + (a - b) * (of_label[0] / (n - t))) / of_label.total()
     best = (
-        counted.where(a >= MIN_EXAMPLES)
+        counted.where((a >= MIN_EXAMPLES) & (share <= COMMON))
         .select("feature", g.alias("g"))
         .where(F.col("g") >= MIN_G)
         .orderBy(F.desc("g"), "feature")
@@ -259,7 +265,8 @@ def fit(
     or one half.
     """
     sample = _sample(documents, labels, examples)
-    vocabulary = {f: k for k, f in enumerate(_vocabulary(sample, terms))}
+    of_label = Counter({r.toxic: r.n for r in _label_counts(labels)})
+    vocabulary = {f: k for k, f in enumerate(_vocabulary(sample, of_label, terms))}
 
     def vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -289,7 +296,6 @@ def fit(
         norm = math.sqrt(sum(w * w for w in raw.values()))
         vectors.append({t: w / norm for t, w in raw.items()})
     # What an example stands for, as one label may be sampled more than the other.
-    of_label = Counter({r.toxic: r.n for r in _label_counts(labels)})
     sampled = Counter(r.toxic for r in rows)
     weights = [of_label[r.toxic] / sampled[r.toxic] for r in rows]
     model = Model(vocabulary, idf, vectors, [r.toxic for r in rows], weights)
