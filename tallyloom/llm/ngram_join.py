@@ -3,11 +3,11 @@
 Universe partition and pigeonhole: tokens (shingles) are hashed into segments,
 as many as one more than the tokens in which two linked sets of a size band can
 differ, so two linked sets agree in a whole segment. A document looks up only as
-many segments as its own size needs, the cheapest ones; where that leaves only
-small or empty segments it looks up instead, in a few segments kept for it, all
-sets that differ by one token (one-deletion neighbourhoods), each of which
-counts for two. Sets that meet in a lookup form candidate clusters; within a
-cluster all links are verified on the sets themselves.
+many segments as its own size needs, those with the rarest tokens; where that
+leaves only common or empty segments it looks up instead, in a few segments kept
+for it, all sets that differ by one token (one-deletion neighbourhoods), each of
+which counts for two. Sets that meet in a lookup form candidate clusters; within
+a cluster all links are verified on the sets themselves.
 """
 
 from __future__ import annotations
@@ -17,21 +17,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.batches import pieces
 from tallyloom.llm.components import connected_components
 from tallyloom.llm.words import mix, seed, shingle_sets
-from tallyloom.sources.scratch import written
+from tallyloom.sources.scratch import drop_path, scratch_path, written
 
 N, PERCENT = 5, 80
 # Segments of a band for which one-deletion neighbourhoods are indexed.
 RESERVE, RESERVE_SHARE = 4, 0.02
-# Signatures that a task gathers before it folds and emits them; expected
-# signatures per byte of text; signatures per bucket; shingles that one
-# verification task holds. They set the size of tasks and change no result.
-FLUSH, PER_BYTE, BUCKET, BIN = 1_500_000, 0.055, 50_000, 400_000
+# Shingles over which a task counts how common they are; signatures it gathers
+# before it folds and emits them; expected signatures per byte of text and share
+# of tokens that may differ; signatures per bucket; shingles that one verification
+# task holds. They set the size of tasks and change no result.
+COUNTED, FLUSH, PER_BYTE, BUCKET, BIN = 1_000_000, 1_500_000, 0.68, 50_000, 400_000
 LARGEST = 1 << 40
 
 SIGNATURE_SCHEMA = (
@@ -65,29 +66,29 @@ def reserve(segments: int) -> int:
     return min(segments, max(RESERVE, int(RESERVE_SHARE * segments)))
 
 
-def allocate(counts: np.ndarray, need: int, kept: int) -> tuple[np.ndarray, np.ndarray]:
+def allocate(
+    exactly: np.ndarray, nearly: np.ndarray, need: int
+) -> tuple[np.ndarray, np.ndarray]:
     """Which segments to look up, and which of those also up to one deletion.
 
-    ``counts`` are the segments' tokens; an exact lookup counts 1 towards
-    ``need``, one up to a deletion 2. The cost of a lookup is the sets it is
-    expected to meet, which halve with every token. Exact lookups of the largest
-    segments come first; then the costliest of them is given up as long as a
-    deletion in one of the first ``kept`` segments costs less.
+    ``exactly`` is the expected cost of looking up each segment, ``nearly`` that of
+    the first few up to a deletion. An exact lookup counts 1 towards ``need``, one
+    up to a deletion 2. The cheapest exact lookups come first; then the costliest
+    of them is given up as long as a deletion elsewhere costs less.
     """
-    order = np.argsort(-counts, kind="stable")[:need]
-    exact = np.zeros(len(counts), dtype=bool)
+    order = np.argsort(exactly, kind="stable")[:need]
+    exact = np.zeros(len(exactly), dtype=bool)
     exact[order] = True
-    once = np.zeros(len(counts), dtype=bool)
-    for i in sorted((i for i in range(kept) if exact[i]), key=lambda i: -counts[i]):
-        if not exact[i]:
-            continue
-        giving = next((g for g in order[::-1] if exact[g] and not once[g]), None)
-        if giving is None or giving == i:
-            break
-        c = float(counts[i])
-        if (1 + 2 * c) * 2.0 ** (1 - c) - 2.0**-c >= 2.0 ** -float(counts[giving]):
+    once = np.zeros(len(exactly), dtype=bool)
+    last = len(order) - 1
+    for i in np.argsort(nearly, kind="stable"):
+        while last >= 0 and once[order[last]]:
+            last -= 1
+        if last < 0 or order[last] == i or nearly[i] >= exactly[order[last]]:
             break
-        once[i], exact[giving] = True, False
+        if exact[i]:
+            once[i], exact[order[last]] = True, False
+            last -= 1
     return exact, once
 
 
@@ -96,7 +97,27 @@ def _keys(sums: np.ndarray, segment: np.ndarray, band: int, space: int, active)
     return (mix(sums + place) & ~np.uint64(1)) | np.asarray(active, dtype=np.uint64)
 
 
-def _band_keys(s: np.ndarray, band: int, m: int, need: int, index: bool) -> list[np.ndarray]:
+def _costs(others: np.ndarray, ends: np.ndarray, counts: np.ndarray, kept: int):
+    """Expected cost of looking up each segment, and the first ``kept`` of them up
+    to one deletion. ``others`` is, for the tokens by segment, in how many other
+    sets each occurs: a segment meets at most the sets of its rarest token, and
+    fewer the more tokens it has. An empty one meets more than any other."""
+    filled = counts > 0
+    exactly = np.full(len(counts), float(others.max(initial=0)) + 2)
+    exactly[filled] = np.minimum.reduceat(others, (ends - counts)[filled])
+    exactly += 2.0 ** -counts.astype(float)
+    nearly = np.full(kept, np.inf)
+    for i in np.flatnonzero(filled[:kept]):
+        rare = np.sort(others[ends[i] - counts[i] : ends[i]])
+        c = len(rare)
+        second = float(rare[1]) if c > 1 else float(others.max()) + 2
+        nearly[i] = 2 * ((c - 1) * float(rare[0]) + second) + (1 + 2 * c) * 2.0 ** (1 - c)
+    return exactly, nearly
+
+
+def _band_keys(
+    s: np.ndarray, others: np.ndarray, band: int, m: int, need: int, index: bool
+) -> list[np.ndarray]:
     """Signatures of a set in a band of ``m`` segments. The last bit tells lookups
     from what is only indexed."""
     segment = (mix(s ^ seed(201, band)) % np.uint64(m)).astype(np.int64)
@@ -107,7 +128,7 @@ def _band_keys(s: np.ndarray, band: int, m: int, need: int, index: bool) -> list
     total = np.append(np.uint64(0), np.cumsum(values, dtype=np.uint64))
     sums = total[ends] - total[ends - counts]
     kept = reserve(m)
-    exact, once = allocate(counts, need, kept)
+    exact, once = allocate(*_costs(others[order], ends, counts, kept), need)
     out = []
     if index:
         out.append(_keys(sums, np.arange(m), band, 0, exact))
@@ -124,8 +145,10 @@ def _band_keys(s: np.ndarray, band: int, m: int, need: int, index: bool) -> list
     return out
 
 
-def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
-    """All signatures of a set: those it is found by and those it looks up."""
+def signatures(s: np.ndarray, others: np.ndarray, bands: Bands) -> np.ndarray:
+    """All signatures of a set: those it is found by and those it looks up.
+    ``others`` tells how many other sets seen with it hold each token; it decides
+    what is looked up, never what is found."""
     n = len(s)
     if n == 0:
         return np.empty(0, dtype=np.uint64)
@@ -133,12 +156,12 @@ def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
     out = []
     m = bands.segments(band)
     if m > 1:
-        out += _band_keys(s, band, m, bands.difference(2 * n) + 1, True)
+        out += _band_keys(s, others, band, m, bands.difference(2 * n) + 1, True)
     if band:
         below = bands.bounds[band] - 1
         m = bands.segments(band - 1)
         if m > 1 and 100 * below >= bands.percent * n:
-            out += _band_keys(s, band - 1, m, bands.difference(n + below) + 1, False)
+            out += _band_keys(s, others, band - 1, m, bands.difference(n + below) + 1, False)
     return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
 
 
@@ -205,11 +228,14 @@ def _signature_rows(documents: DataFrame, n: int, bands: Bands, buckets: int) ->
         edges, k, r = fold(np.concatenate(keys), np.concatenate(records))
         if len(edges):
             yield batch_of(2, len(edges), h1=edges[:, 0].copy(), h2=edges[:, 1].copy())
-        bucket = ((k >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
+        bucket = ((k >> np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         k, r = k[order], r[order]
         found, at = np.unique(bucket[order], return_index=True)
         ends = np.append(at[1:], len(k))
+        # Within a bucket 31 bits of a signature and the last bit tell enough: a chance
+        # meeting is one more candidate.
+        k = ((k >> np.uint64(32)) << np.uint64(1) | (k & np.uint64(1))).astype(np.uint32)
         blobs = [[x[a:b].tobytes() for a, b in zip(at, ends, strict=True)] for x in (k, r)]
         for lo in range(0, len(found), 256):
             hi = min(lo + 256, len(found))
@@ -222,23 +248,45 @@ def _signature_rows(documents: DataFrame, n: int, bands: Bands, buckets: int) ->
             )
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, digests, tokens = [], [], 0
         keys, records, held = [], [], 0
+
+        def sign_sets() -> None:
+            """Signatures of the sets at hand; how common a token is among them
+            estimates how common it is."""
+            nonlocal sets, digests, tokens, held
+            flat = np.concatenate(sets)
+            _, token, seen = np.unique(flat, return_inverse=True, return_counts=True)
+            others = seen[token] - 1
+            at = 0
+            for s, a in zip(sets, digests, strict=True):
+                own = signatures(s, others[at : at + len(s)], bands)
+                at += len(s)
+                keys.append(own)
+                records.append(np.full(len(own), a, dtype=np.int64))
+                held += len(own)
+            sets, digests, tokens = [], [], 0
+
         for batch in pieces(batches):
             sizes, h1, h2 = [], [], []
             for s in shingle_sets(batch.column(1), n):
                 a, b = _digest(s)
-                own = signatures(s, bands)
                 sizes.append(len(s))
                 h1.append(a)
                 h2.append(b)
-                keys.append(own)
-                records.append(np.full(len(own), a, dtype=np.int64))
-                held += len(own)
+                if len(s):
+                    sets.append(s)
+                    digests.append(a)
+                    tokens += len(s)
+                if tokens >= COUNTED:
+                    sign_sets()
                 if held >= FLUSH:
                     yield from emit(keys, records)
                     keys, records, held = [], [], 0
             ids = batch.column(0).to_pylist()
             yield batch_of(0, len(sizes), doc_id=ids, n=sizes, h1=h1, h2=h2)
+        if sets:
+            sign_sets()
         if held:
             yield from emit(keys, records)
 
@@ -251,7 +299,8 @@ def _candidate_edges(signed: DataFrame) -> DataFrame:
     sets share comes as one row per task; buckets are of bounded size."""
 
     def meet(table: pa.Table) -> pa.Table:
-        keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), dtype=np.uint64)
+        keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), dtype=np.uint32)
+        keys = keys.astype(np.uint64)
         records = np.frombuffer(b"".join(table.column("records").to_pylist()), dtype=np.int64)
         edges, _, _ = fold(keys, records)
         return pa.table({"a": edges[:, 0].copy(), "b": edges[:, 1].copy()})
@@ -329,39 +378,66 @@ def _verified_edges(
     components are those of the links.
 
     Each candidate cluster is verified in one task, several small ones together.
-    One that is too large is cut into tiles, and every two tiles meet in a task.
+    One that is too large is cut into tiles by size band, and every two tiles of
+    one band or of neighbouring bands meet in a task.
     """
     members = clusters.join(sets, F.col("id") == F.col("h1")).select(
-        F.col("rep").alias("_rep"), F.col("component").alias("cluster"), "n"
+        F.col("rep").alias("_rep"),
+        F.col("component").alias("cluster"),
+        "n",
+        F.size(F.filter(F.lit(Bands(percent).bounds), lambda b: b <= F.col("n"))).alias("band"),
     )
     members = written(members, "members")
-    sizes = members.groupBy("cluster").agg(F.sum("n").alias("size"))
-    sizes = written(sizes.withColumnRenamed("cluster", "_cluster"), "cluster-sizes")
+    # For each cluster its size and the tiles of each of its bands, which are few.
+    tiles = F.ceil(F.col("size") / BIN).cast("int")
+    sizes = members.groupBy("cluster", "band").agg(F.sum("n").alias("size"))
+    sizes = sizes.groupBy(F.col("cluster").alias("_cluster")).agg(
+        F.sum("size").alias("size"),
+        F.map_from_entries(F.collect_list(F.struct("band", tiles))).alias("tiles"),
+    )
+    sizes = written(sizes, "cluster-sizes")
     total = sizes.agg(F.sum("size")).first()[0] or 0
     bins = max(1, -(-total // BIN))
-    tiles = F.ceil(F.col("size") / BIN).cast("int")
-    own = F.pmod(F.xxhash64("_rep", F.lit("tile")), tiles).cast("int")
-    tasks = F.when(
-        tiles <= 1,
-        F.array(
-            F.struct(
-                F.pmod(F.xxhash64("cluster"), F.lit(bins)).alias("bin"),
-                F.lit(-1).alias("tile_a"),
-                F.lit(-1).alias("tile_b"),
-            )
-        ),
-    ).otherwise(
-        F.transform(
-            F.sequence(F.lit(0), F.greatest(tiles - 1, F.lit(0))),
-            lambda t: F.struct(
-                F.col("cluster").alias("bin"),
-                F.least(own, t).alias("tile_a"),
-                F.greatest(own, t).alias("tile_b"),
-            ),
+
+    def tiles_of(band: Column) -> Column:
+        return F.coalesce(F.element_at("tiles", band), F.lit(0))
+
+    band, no = F.col("band"), F.lit(-1)
+    own = F.pmod(F.xxhash64("_rep", F.lit("tile")), tiles_of(band)).cast("int")
+
+    def task(low: Column, a: Column, high: Column, b: Column) -> Column:
+        return F.struct(
+            F.col("cluster").alias("bin"),
+            low.alias("low"),
+            a.alias("tile_a"),
+            high.alias("high"),
+            b.alias("tile_b"),
+        )
+
+    def each(band: Column, make) -> Column:
+        none = F.array().cast("array<int>")
+        count = tiles_of(band)
+        return F.transform(
+            F.when(count > 0, F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0)))).otherwise(none),
+            make,
+        )
+
+    together = F.array(
+        F.struct(
+            F.pmod(F.xxhash64("cluster"), F.lit(bins)).alias("bin"),
+            no.alias("low"),
+            no.alias("tile_a"),
+            no.alias("high"),
+            no.alias("tile_b"),
         )
     )
+    apart = F.concat(
+        each(band, lambda t: task(band, F.least(own, t), band, F.greatest(own, t))),
+        each(band + 1, lambda t: task(band, own, band + 1, t)),
+        each(band - 1, lambda t: task(band - 1, t, band, own)),
+    )
     placed = members.join(sizes, F.col("cluster") == F.col("_cluster")).select(
-        "_rep", F.explode(tasks).alias("task")
+        "_rep", F.explode(F.when(F.col("size") <= BIN, together).otherwise(apart)).alias("task")
     )
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = texts.join(placed, F.col("doc_id") == F.col("_rep")).select("doc_id", "text", "task.*")
@@ -375,7 +451,9 @@ def _verified_edges(
         keep = ids != root
         return pa.table({"a": ids[keep], "b": root[keep]})
 
-    return texts.groupBy("bin", "tile_a", "tile_b").applyInArrow(verify, "a long, b long")
+    return texts.groupBy("bin", "low", "tile_a", "high", "tile_b").applyInArrow(
+        verify, "a long, b long"
+    )
 
 
 def jaccard_components(documents: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
@@ -392,17 +470,23 @@ def jaccard_components(documents: DataFrame, n: int = N, percent: int = PERCENT)
     nothing and has no component. Only doc_id and text are read.
     """
     bands = Bands(percent)
+    spark = documents.sparkSession
     size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, int(size * PER_BYTE / BUCKET))
-    signed = written(_signature_rows(documents, n, bands, buckets), "signatures")
-    rows = signed.where("kind = 0").select("doc_id", "n", "h1", "h2")
+    buckets = max(1, int(size * PER_BYTE * (100 - percent) / (100 + percent) / BUCKET))
+    path = scratch_path(spark, "signatures")
+    _signature_rows(documents, n, bands, buckets).write.option("compression", "zstd").parquet(path)
+    signed = spark.read.schema(SIGNATURE_SCHEMA).parquet(path)
+    rows = written(signed.where("kind = 0").select("doc_id", "n", "h1", "h2"), "digests")
+    candidates = written(_candidate_edges(signed), "candidates")
+    # The largest table by far, and of no more use.
+    drop_path(spark, path)
     sets = (
         rows.where("n > 0 AND doc_id IS NOT NULL")
         .groupBy("h1", "h2")
         .agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"))
     )
     sets = written(sets, "sets")
-    clusters = connected_components(_candidate_edges(signed))
+    clusters = connected_components(candidates)
     edges = _verified_edges(documents, sets, clusters, n, percent)
     # Rows of one doc_id and different texts are one document.
     same = rows.where("n > 0 AND doc_id IS NOT NULL").join(
