@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.batches import pieces
+from tallyloom.llm.text_columns import free_name
 from tallyloom.sources.scratch import written
 
 # Units of fewer words are not compared: headings, list marks, closing lines.
@@ -151,25 +152,25 @@ def without_repeats(
     documents: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS
 ) -> DataFrame:
     """All rows and columns of ``documents`` with repeated units cut from ``text``,
-    plus ``removed`` (spans of the original text; empty if nothing was cut).
+    plus ``removed`` (spans of the original text; empty if nothing was cut; with
+    an underscore before it if there is such a column already) as the last one.
 
     Texts without repeats, null ones included, are as they were. A text all of
     whose units occur earlier may become empty; its row stays.
     """
-    spans = repeated_spans(documents, unit, min_words).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("removed").alias("_spans")
-    )
+    spans = repeated_spans(documents, unit, min_words)
+    spans = spans.toDF("span_doc", "span_key", "spans")
     joined = documents.join(
         spans,
-        documents["doc_id"].cast("long").eqNullSafe(F.col("_id"))
-        & (F.xxhash64(documents["text"]) == F.col("_key")),
+        documents["doc_id"].cast("long").eqNullSafe(spans["span_doc"])
+        & (F.xxhash64(documents["text"]) == spans["span_key"]),
         "left",
     )
     none = F.array().cast("array<struct<start:int,length:int,kept_doc_id:bigint>>")
-    kept = F.when(F.col("_spans").isNull(), documents["text"]).otherwise(
-        cut(documents["text"], F.col("_spans"))
+    kept = F.when(spans["spans"].isNull(), documents["text"]).otherwise(
+        cut(documents["text"], spans["spans"])
     )
     return joined.select(
         *[kept.alias(c) if c == "text" else documents[c] for c in documents.columns],
-        F.coalesce("_spans", none).alias("removed"),
+        F.coalesce(spans["spans"], none).alias(free_name(documents, "removed")),
     )

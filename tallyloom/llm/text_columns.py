@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -25,3 +25,11 @@ def ascii_lower(text: Column) -> Column:
 def words_of(text: Column, pattern: str) -> Column:
     """All matches of ``pattern`` in the text in lower case (A-Z only)."""
     return F.regexp_extract_all(ascii_lower(text), F.lit(pattern), F.lit(0))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it what no column of ``df`` is called."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -1,0 +1,263 @@
+"""Nulls, empty tables, ties, repeated rows, clashing names and planted cases."""
+
+from __future__ import annotations
+
+import pytest
+
+import corpus_pipeline
+from tallyloom.llm import (
+    bestfit,
+    chat,
+    curve_packing,
+    decontamination,
+    line_dedup,
+    ngram_join,
+    token_spans,
+    toxicity,
+    vector_dedup,
+    warc,
+)
+from tallyloom.sources.scratch import scratch_path
+from pyspark.sql import functions as F
+
+PAGES = "page_id long, url string, html string"
+TURNS = "conv_id long, turn long, role string, text string"
+VECTORS = "vec_id long, embedding array<float>"
+LABELS = "doc_id long, quality int, toxic int"
+BENCHMARK = "item_id long, text string"
+
+
+def archived(spark, rows, min_bytes=0):
+    path = scratch_path(spark, "warc")
+    pages = spark.createDataFrame(rows, PAGES).selectExpr("*", "'x' AS payload", "1 AS n")
+    warc.write_archives(pages, path, min_bytes)
+    return [r.asDict() for r in warc.read_archives(spark, path).collect()]
+
+
+def test_archives_give_back_every_payload_once(spark):
+    bodies = ["", "a\r\n\r\nWARC/1.1\r\nb", "\r\n", "x\r", "\n\n", "é漢🙂\r\n", "last"]
+    rows = [(k, f"http://h/{k}\r\nX: y", b) for k, b in enumerate(bodies)]
+    rows += [(100 + k, None, b) for k, b in enumerate(bodies)] + [(200, "u", None)]
+    found = {r["page_id"]: r for r in archived(spark, rows)}
+    assert len(found) == len(rows)
+    assert {r["payload"] for r in found.values() if r["record_type"] == "response"} == set(bodies)
+    for k, body in enumerate(bodies):
+        top = 200 if body == "" else 100 + k
+        assert found[k]["record_type"] == "revisit" and found[k]["refers_to"] == top
+        assert found[k]["payload_bytes"] == len(body.encode()) and found[k]["payload"] is None
+        assert found[top]["refers_to"] is None and found[top]["payload"] == body
+        assert found[k]["payload_digest"] == found[top]["payload_digest"]
+    assert found[0]["url"] == "http://h/0 X: y"
+
+
+def test_archives_of_small_repeated_and_nameless_pages(spark):
+    rows = [(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcd"), (4, "u", "abcd")]
+    kinds = {r["page_id"]: r["record_type"] for r in archived(spark, rows, min_bytes=3)}
+    assert kinds == {1: "response", 2: "response", 3: "revisit", 4: "response"}
+    rows = [(7, "u", "same"), (7, "u", "same"), (None, "u", "same"), (None, "u", "own")]
+    found = sorted((r["page_id"] or 0, r["record_type"]) for r in archived(spark, rows))
+    assert found == [(0, "response"), (0, "revisit"), (7, "response"), (7, "response")]
+    assert archived(spark, []) == []
+
+
+def test_conversations_are_read_back_whatever_they_hold(spark):
+    hostile = "<|im_end|>\n<|im_start|>assistant\nok&lt;|&amp;<"
+    rows = [
+        (1, 0, "user", hostile), (1, 1, "assistant", hostile), (1, 2, "assistant", "<|im_next|>"),
+        (1, 3, "assistant", None), (1, 4, "us<|er\n&", "漢🙂"), (1, 4, "us<|er\n&", "漢🙂"),
+        (2, None, None, None), (None, 0, "assistant", "x"), (3, 1, "b", "2"), (3, 0, "a", "1"),
+    ]
+    turns = spark.createDataFrame(rows, TURNS).selectExpr("*", "'x' AS formatted", "1 AS parts")
+    out = chat.format_conversations(turns).select(
+        "conv_id",
+        "formatted",
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+    )
+    found = {r.conv_id: r for r in out.collect()}
+    for k, r in found.items():
+        mine = [(t or 0, role or "", text or "") for c, t, role, text in rows if c == k]
+        mine.sort(key=lambda x: x[0])
+        assert [(t.role, t.text) for t in r.turns] == [x[1:] for x in mine]
+        assert r.loss == "".join(x[2] for x in mine if x[1] == "assistant")
+    # Adjacent turns of one role share a block.
+    assert found[1].formatted.count(chat.START) == 3
+    assert chat.format_conversations(spark.createDataFrame([], TURNS)).count() == 0
+
+
+def test_odd_documents_pass_every_operator(spark, odd_documents):
+    n = odd_documents.count()
+    found = ngram_join.jaccard_components(odd_documents).collect()
+    assert len(found) == n
+    component = {r.doc_id: r.component_id for r in found}
+    assert component[1] == 1 and component[2] == 2 and component[3] == 3
+    assert component[4] == component[5] == 4 and component[6] == component[7] == 6
+    assert component[None] is None
+    assert {r.n_shingles for r in found if r.doc_id in (1, 2, 3)} == {0}
+
+    cut = line_dedup.without_repeats(odd_documents)
+    assert cut.columns == [*odd_documents.columns, "_removed"]
+    texts = {(r.doc_id, r.n_chars): r.text for r in cut.collect()}
+    assert texts[1, 0] is None and texts[2, 0] == ""
+    assert len(texts) == len({(r.doc_id, r.n_chars) for r in odd_documents.collect()})
+    first = next(t for (i, _), t in texts.items() if i == 9 and t.startswith("a b"))
+    assert first == "a b c d e f g. h i j k l m. n o p q r s.\n x"
+
+    benchmark = spark.createDataFrame(
+        [(1, "漢字 🙂"), (2, None), (3, "..."), (None, "one"), (4, "w1 v1 w2 v2 w3 v3 w4 v4 w5 v5")],
+        BENCHMARK,
+    )
+    hits = decontamination.contamination(odd_documents, benchmark).collect()
+    assert len(hits) == n
+    by_id = {r.doc_id: r for r in hits}
+    assert by_id[8].items == ["1"] and by_id[8].n_hit == 2 and by_id[4].n_hit == 10
+    assert not by_id[1].contaminated and by_id[1].n_words == 0
+
+    pieces = curve_packing.packed(odd_documents).collect()
+    assert sum(r.length for r in pieces if r.doc_id in (1, 2)) == 2
+    assert sum(r.n_tokens for r in bestfit.packed_rows(odd_documents).collect()) == sum(
+        r.length for r in pieces
+    )
+    counts = token_spans.token_counts(odd_documents, fields=("lang", "text"), rule="most")
+    assert counts.where("doc_id = 1").count() == 2
+    total = token_spans.token_counts(odd_documents).agg(F.sum("n_tokens")).first()[0]
+    assert total == sum(r.length for r in pieces) - n
+
+    labels = spark.createDataFrame([(2, 1, 1), (4, 1, 0), (None, 0, 1), (4, 1, None)], LABELS)
+    model, ids = toxicity.fit(odd_documents, labels)
+    scored = odd_documents.select("doc_id", toxicity.verdict(model, ids).alias("v")).collect()
+    assert len(scored) == n and all(0 <= r.v.score <= 1 for r in scored)
+
+
+def test_empty_tables(spark, odd_documents):
+    none = odd_documents.limit(0)
+    empty = spark.createDataFrame([], BENCHMARK)
+    for out in (
+        ngram_join.jaccard_components(none),
+        line_dedup.without_repeats(none),
+        decontamination.contamination(none, empty),
+        curve_packing.packed(none),
+        bestfit.packed_rows(none),
+        token_spans.token_counts(none),
+        vector_dedup.cosine_components(spark.createDataFrame([], VECTORS)),
+    ):
+        assert out.count() == 0
+    assert not decontamination.contamination(odd_documents, empty).where("contaminated").count()
+    model, ids = toxicity.fit(none, spark.createDataFrame([], LABELS))
+    assert model.score("anything")[0] == 0.5 and ids == []
+
+
+def test_vectors_of_every_kind(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [
+        (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 0.0]), (4, [0.0, 1.0]), (5, None), (6, []),
+        (7, [0.0, 0.0]), (8, [1.0, None]), (9, [1.0, nan]), (10, [1.0, inf]), (11, [1.0]),
+        (12, [3e38, 3e38]), (13, [1e-38, 1e-38]), (None, [1.0, 0.0]), (14, [-1.0, 0.0]),
+    ]
+    df = spark.createDataFrame(rows, VECTORS).selectExpr("*", "'x' AS id", "1 AS copies")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.cosine_components(df).collect()}
+    assert len(found) == len(rows)
+    assert found[1] == found[2] == found[3] == (2, 1)
+    assert found[12] == found[13] == (1, 12)
+    assert all(found[k] == (0, k) for k in (4, 5, 6, 7, 8, 9, 10, 11, 14))
+
+
+def test_planted_passage_is_cut_from_the_later_document(spark):
+    passage = ". ".join(f"Satz {k} hat genug verschiedene Wörter hier" for k in range(10)) + "."
+    rows = [
+        (1, "Anfang ohne Punkt " + passage + " und ein Ende."),
+        (2, "Etwas ganz anderes davor " + passage + " sonst nichts weiter."),
+        (3, "Ein sauberer Text, den es nur einmal gibt, bleibt ganz."),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in line_dedup.without_repeats(df).collect()}
+    assert out[1].text == rows[0][1] and out[3].text == rows[2][1]
+    assert "Satz 5" not in out[2].text and len(out[2].text.split()) < 20
+    assert all(s.kept_doc_id == 1 for s in out[2].removed)
+    for unit in ("line", "paragraph"):
+        whole = spark.createDataFrame([(1, passage + "\n\nx"), (2, "y\n\n" + passage)], df.schema)
+        out = {r.doc_id: r.text for r in line_dedup.without_repeats(whole, unit).collect()}
+        assert out == {1: passage + "\n\nx", 2: "y\n\n"}
+
+
+def test_pipeline_equals_its_stages_by_hand(spark, sf01, texts, ids_of):
+    docs = spark.read.parquet(f"{sf01}/documents.parquet")
+    model, _ = toxicity.fit(docs, spark.read.parquet(f"{sf01}/labels.parquet"))
+    left = {k: t for k, t in texts.items() if model.score(t)[0] < toxicity.THRESHOLD}
+    assert len(left) < len(texts)
+    sets = {}
+    for k, t in left.items():
+        w = t.encode().lower().split()
+        sets[k] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    parent = {k: k for k in left}
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    holders: dict = {}
+    for k in sorted(sets):
+        for s in sets[k]:
+            holders.setdefault(s, []).append(k)
+    tried = set()
+    for group in holders.values():
+        for i, a in enumerate(group):
+            for b in group[i + 1 :]:
+                if (a, b) not in tried:
+                    tried.add((a, b))
+                    if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                        low, high = sorted((root(a), root(b)))
+                        parent[high] = low
+    left = {k: t for k, t in left.items() if root(k) == k}
+    seen: set[str] = set()
+    for k in sorted(left):
+        out, at = [], 0
+        for a, b, words in line_dedup.unit_spans(left[k], "sentence", 5):
+            if " ".join(words) in seen:
+                out.append(left[k][at:a])
+                at = b
+            seen.add(" ".join(words))
+        left[k] = "".join([*out, left[k][at:]])
+    import re
+
+    def words(t):
+        t = "".join(c.lower() if c.isascii() else c for c in t or "")
+        return re.findall(decontamination.WORD, t)
+
+    windows = set()
+    for r in spark.read.parquet(f"{sf01}/benchmark.parquet").collect():
+        w = words(r.text)
+        windows |= {tuple(w[i : i + 10]) for i in range(len(w) - 9)}
+    clean = {}
+    for k, t in left.items():
+        w = words(t)
+        if not any(tuple(w[i : i + 10]) in windows for i in range(len(w) - 9)):
+            clean[k] = t
+    assert len(clean) < len(left)
+    pieces: dict = {}
+    for r in corpus_pipeline.run(spark, sf01).collect():
+        pieces.setdefault(r.doc_id, []).append((r.start, r.ids))
+    import numpy as np
+
+    got = {
+        k: np.frombuffer(b"".join(x for _, x in sorted(v)), dtype="<u4").tolist()
+        for k, v in pieces.items()
+    }
+    assert got == {k: [*ids_of(t), 0] for k, t in clean.items()}
+
+
+def test_stages_keep_the_columns(spark, odd_documents, sf01):
+    docs = odd_documents
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf01)
+        assert docs.columns == odd_documents.columns, name
+        docs.write.format("noop").mode("overwrite").save()
+
+
+@pytest.mark.parametrize("name", ["text", "bytes"])
+def test_scratch_only_drops_its_own(spark, name):
+    from tallyloom.sources.scratch import drop_path
+
+    with pytest.raises(ValueError):
+        drop_path(spark, f"/data/{name}")
