@@ -10,6 +10,7 @@ import argparse
 
 from tallyloom import jobs
 from tallyloom.session import build_session
+from tallyloom.sources.scratch import drop_scratch
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -43,7 +44,12 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     options = vars(_parser().parse_args(argv))
     job = options.pop("job")
-    jobs.JOBS[job](build_session(f"tallyloom-{job}"), **options)
+    spark = build_session(f"tallyloom-{job}")
+    try:
+        jobs.JOBS[job](spark, **options)
+    finally:
+        # The results are written; what was written on the way to them is not needed.
+        drop_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -42,7 +42,7 @@ def parent_key(
     key = draw(seed, name, row_id) % n
     if not hot_share:
         return key
-    is_hot = draw(seed, f"{name}/hot", row_id) % 1000 < int(hot_share * 1000)
+    is_hot = draw(seed, f"{name}/hot", row_id) % 1_000_000 < round(hot_share * 1_000_000)
     return F.when(is_hot, F.lit(0).cast("bigint")).otherwise(key)
 
 

@@ -4,7 +4,8 @@ Money columns arrive as doubles with two decimals. They are turned into whole
 units (cents, or ten-thousandths for a price times a percentage), summed as
 decimals and scaled back at the end. Addition order then cannot change a
 result, which at 10^12 rows a double sum does not guarantee even for whole
-amounts, and a bigint sum could overflow there.
+amounts, and a bigint sum could overflow there. What is no number, or too large
+to count in such units, is null and left out of a sum; the rules count it.
 """
 
 from __future__ import annotations
@@ -16,17 +17,18 @@ from pyspark.sql import functions as F
 
 
 def _hundredths(col: str) -> Column:
-    return F.rint(F.col(col) * 100).cast("bigint")
+    return F.rint(F.col(col) * 100).try_cast("bigint")
 
 
 def cents(col: str) -> Column:
     """A money column in cents, as decimal(18,0), which Spark keeps in a long."""
-    return _hundredths(col).cast("decimal(18,0)")
+    return _hundredths(col).try_cast("decimal(18,0)")
 
 
 def revenue_units(price: str = "l_extendedprice", discount: str = "l_discount") -> Column:
     """price * (1 - discount) in ten-thousandths, as decimal(18,0)."""
-    return (_hundredths(price) * (100 - _hundredths(discount))).cast("decimal(18,0)")
+    rest = F.try_subtract(F.lit(100), _hundredths(discount))
+    return F.try_multiply(_hundredths(price), rest).try_cast("decimal(18,0)")
 
 
 def total_cents(units: Column) -> Column:

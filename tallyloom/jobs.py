@@ -75,7 +75,12 @@ def prepare(spark: SparkSession, root: str, out: str, csv: bool = False) -> None
     Writes under ``out``: ``ingested`` (CSV deliveries only: each table, lines
     that do not fit their schema apart), ``rule_violations``, ``customers`` by
     verdict, ``documents`` without repeats, ``events`` with parsed properties,
-    and ``lines`` by order year. Each is replaced as a whole.
+    and ``lines`` by match and order year. Each is replaced as a whole.
+
+    Nothing delivered is lost: lines without an order, customer, place or part
+    lie under their own ``match``; events keep the text of their properties,
+    readable or not; documents without text are not taken for copies. Of orders,
+    customers and parts that repeat a key one is joined (the rules count them).
     """
 
     def load(name: str) -> DataFrame:
@@ -89,7 +94,10 @@ def prepare(spark: SparkSession, root: str, out: str, csv: bool = False) -> None
     customer, part, orders, lineitem, events = (load(name) for name in CSV_TABLES)
     nation, region, documents = (load(name) for name in ("nation", "region", "documents"))
 
-    violations = preparation.violations_in(customer, orders, lineitem, part)
+    parsed = preparation.parsed_events(events)
+    violations = preparation.violations_in(customer, orders, lineitem, part).unionByName(
+        preparation.unreadable_events(parsed)
+    )
     sinks.write_report(violations, f"{out}/rule_violations", order=["rule"])
 
     verdict = F.coalesce("reject_reason", F.lit("pass")).alias("verdict")
@@ -102,14 +110,21 @@ def prepare(spark: SparkSession, root: str, out: str, csv: bool = False) -> None
     unique = duplicates.keep_lowest(documents, folded_key("text"), "doc_id", carried)
     unique.write.mode("overwrite").parquet(f"{out}/documents")
 
-    props = F.from_json("props", "k BIGINT")
-    parsed = events.withColumn("k", props["k"]).drop("props")
     parsed.write.mode("overwrite").parquet(f"{out}/events")
 
-    lines = star.enriched_lines(lineitem, orders, customer, part, nation, region)
+    lines = star.matched_lines(
+        lineitem,
+        duplicates.one_per_key(orders, "o_orderkey"),
+        duplicates.one_per_key(customer, "c_custkey"),
+        duplicates.one_per_key(part, "p_partkey"),
+        nation,
+        region,
+    )
     by_year = lines.withColumn("order_year", F.year("o_orderdate"))
     # A few years in the widest table there is: not worth shuffling it once more.
-    sinks.write_partitioned(by_year, f"{out}/lines", "order_year", gather=False, whole=True)
+    sinks.write_partitioned(
+        by_year, f"{out}/lines", "match", gather=False, whole=True, within="order_year"
+    )
 
 
 def analyse(spark: SparkSession, root: str, out: str) -> None:

@@ -1,25 +1,48 @@
-"""Removal of rows that repeat an earlier row's text."""
+"""Removal of rows that repeat an earlier row's text or key."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.sources.scratch import written
+
 
 def keep_lowest(
     df: DataFrame, key: Column, row_id: str, carry: list[str], copies: str = "n_copies"
 ) -> DataFrame:
     """One row per ``key``: the one with the lowest ``row_id``, its ``carry``
-    columns and the number of rows that shared the key.
+    columns and the number of rows that shared the key. A row whose key is null is
+    a copy of no other. ``row_id`` must be free of repeats.
 
-    A single aggregation. Every task folds its copies of a text into one row
-    before the shuffle, so a text repeated through a third of the table costs
-    one row per task, and the digest is all that is shuffled of the text unless
-    the text itself is carried.
+    Digests and ids alone are aggregated, by hash, each task folding its copies
+    first; the kept rows' columns are then fetched by id, once.
     """
-    row = F.struct(row_id, *carry)
-    return (
-        df.groupBy(key.alias("_key"))
-        .agg(F.min(row).alias("_row"), F.count(F.lit(1)).alias(copies))
-        .select("_row.*", copies)
+    rows = df.select(row_id, *carry, key.alias("_key"))
+    kept = (
+        rows.where("_key IS NOT NULL")
+        .groupBy("_key")
+        .agg(F.min(row_id).alias("_kept"), F.count(F.lit(1)).alias("_n"))
+        .select("_kept", "_n")
+    )
+    found = rows.join(kept, rows[row_id] == kept["_kept"], "left")
+    return found.where("_key IS NULL OR _kept IS NOT NULL").select(
+        row_id, *carry, F.coalesce("_n", F.lit(1)).alias(copies)
+    )
+
+
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with one row of each ``key`` that occurs several times: the smallest by
+    its other columns. Rows without a key stay. Only repeated keys are gathered."""
+    repeated = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = repeated.where("_n > 1 AND _key IS NOT NULL").select("_key")
+    repeated = written(repeated, "repeated-keys")
+    same = df[key] == repeated["_key"]
+    others = [c for c in df.columns if c != key]
+    first = (
+        df.join(repeated, same, "left_semi")
+        .groupBy(key)
+        .agg(F.min(F.struct(*others)).alias("_row"))
+        .select(*[c if c == key else F.col("_row")[c].alias(c) for c in df.columns])
     )
+    return df.join(repeated, same, "left_anti").unionByName(first)

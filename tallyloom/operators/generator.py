@@ -153,7 +153,7 @@ def events(ids: DataFrame, seed: int, n_users: Column | int, hot_share: float =
 def documents(ids: DataFrame, seed: int, copy_share: float = 0.1) -> DataFrame:
     """``copy_share`` of the texts are the same text, in varying case and spacing."""
     i = F.col("id")
-    is_copy = draw(seed, "text/copy", i) % 1000 < int(copy_share * 1000)
+    is_copy = draw(seed, "text/copy", i) % 1_000_000 < round(copy_share * 1_000_000)
     # A copy draws its words as row 0 does.
     origin = F.when(is_copy, F.lit(0).cast("bigint")).otherwise(i)
     words = [choice(seed, f"text/{n}", origin, WORDS) for n in range(8)]

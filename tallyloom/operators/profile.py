@@ -9,6 +9,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.quality import finite
 from tallyloom.operators.quantiles import exact_quantiles, group_key, quantiles_by_key
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -95,8 +96,9 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: str, width: float, by: Sequence[str] = ()) -> DataFrame:
-    """Counts per bin ``[low, low + width)``."""
-    step = F.floor(F.col(value) / F.lit(float(width)))
+    """Counts per bin ``[low, low + width)``. Values that are not finite have a row
+    of their own, without ``low``; nulls are left out."""
+    step = F.when(finite(value), F.floor(F.col(value) / F.lit(float(width))))
     return (
         df.where(F.col(value).isNotNull())
         .groupBy(*by, step.alias("_bin"))

@@ -12,6 +12,13 @@ from pyspark.sql import functions as F
 Rules = Mapping[str, Column]
 
 
+def finite(name: str) -> Column:
+    """Neither null nor NaN nor infinite. NaN compares as larger than any number, so
+    a rule about a number says this first."""
+    value = F.col(name)
+    return value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
+
+
 def _broken(condition: Column) -> Column:
     return ~F.coalesce(condition, F.lit(False))
 

@@ -241,6 +241,7 @@ def _ranks(marks: DataFrame, probs: Sequence[float]) -> DataFrame:
                     F.lit(end).alias("_end"),
                     rank.cast("bigint").alias("_r"),
                     (position - F.floor(position)).alias("_part"),
+                    (F.ceil(position) - position).alias("_rest"),
                 )
             )
     return marks.select("_key", F.inline(F.array(*wanted)))
@@ -262,7 +263,7 @@ def _locate(ranks: DataFrame, weights: DataFrame, parents: list[str], slot: str)
         .withColumn("_before", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
     )
     return (
-        ranks.select(*parents, "_q", "_end", "_r", "_part")
+        ranks.select(*parents, "_q", "_end", "_r", "_part", "_rest")
         .join(totals, parents)
         .where("_r >= _before and _r < _before + _total")
         .withColumn("_r", F.col("_r") - F.col("_before"))
@@ -304,12 +305,16 @@ def _interpolated(picked: DataFrame, probs: Sequence[float]) -> DataFrame:
     def at(i: int, end: int) -> Column:
         return F.max(F.when((F.col("_q") == i) & (F.col("_end") == end), F.col("_v")))
 
-    def part(i: int) -> Column:
-        return F.max(F.when(F.col("_q") == i, F.col("_part")))
+    def share(i: int, name: str) -> Column:
+        return F.max(F.when(F.col("_q") == i, F.col(name)))
+
+    def between(i: int) -> Column:
+        """What ``percentile`` gives: the value itself where there is one, so that ties
+        stay exact and an infinite end is not multiplied by zero."""
+        low, high, part = at(i, 0), at(i, 1), share(i, "_part")
+        inner = share(i, "_rest") * low + part * high
+        return F.when((part == 0) | (low == high), low).otherwise(inner)
 
     return picked.groupBy("_key").agg(
-        *[
-            ((1 - part(i)) * at(i, 0) + part(i) * at(i, 1)).alias(quantile_name(p))
-            for i, p in enumerate(probs)
-        ]
+        *[between(i).alias(quantile_name(p)) for i, p in enumerate(probs)]
     )

@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from tallyloom.functions.money import revenue_units
 
 
+# Fixed value: the match of a line with nothing missing.
+MATCHED = "matched"
+
+
 def places(nation: DataFrame, region: DataFrame) -> DataFrame:
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", "n_name", "r_name"
@@ -39,14 +43,35 @@ def enriched_lines(
     nation: DataFrame,
     region: DataFrame,
 ) -> DataFrame:
-    """Every order line with its order, customer, part, nation and region.
+    """The order lines that have an order, customer, place and part, with them."""
+    matched = matched_lines(lineitem, orders, customer, part, nation, region)
+    return matched.where(F.col("match") == MATCHED).drop("match")
+
+
+def matched_lines(
+    lineitem: DataFrame,
+    orders: DataFrame,
+    customer: DataFrame,
+    part: DataFrame,
+    nation: DataFrame,
+    region: DataFrame,
+) -> DataFrame:
+    """Every order line with its order, customer, part, nation and region as far as
+    there are any, and in ``match`` the first of them that is missing.
 
     Orders, customers and places are joined first: the lines, the largest table
     by far, are then shuffled for two joins rather than three.
     """
-    placed_orders = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
-        places(nation, region), customer.c_nationkey == F.col("n_nationkey")
+    placed_orders = orders.join(customer, orders.o_custkey == customer.c_custkey, "left").join(
+        places(nation, region), customer.c_nationkey == F.col("n_nationkey"), "left"
     )
-    return lineitem.join(placed_orders, lineitem.l_orderkey == F.col("o_orderkey")).join(
-        part, lineitem.l_partkey == part.p_partkey
+    joined = lineitem.join(
+        placed_orders, lineitem.l_orderkey == F.col("o_orderkey"), "left"
+    ).join(part, lineitem.l_partkey == part.p_partkey, "left")
+    missing = (
+        F.when(F.col("o_orderkey").isNull(), "no order")
+        .when(F.col("c_custkey").isNull(), "no customer")
+        .when(F.col("r_name").isNull(), "no place")
+        .when(F.col("p_partkey").isNull(), "no part")
     )
+    return joined.withColumn("match", missing.otherwise(MATCHED))

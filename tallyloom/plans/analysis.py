@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.money import cents, total_cents
 from tallyloom.operators import profile, ranking, trends
+from tallyloom.operators.quantiles import exact_quantiles
 from tallyloom.plans.query import Query
 from tallyloom.sources.tables import read_table
 
@@ -43,6 +44,21 @@ def value_profile_by_type(spark: SparkSession, root: str) -> DataFrame:
 VALUE_PROFILE_BY_TYPE_SQL = f"SELECT event_type, {_PROFILE_SQL} FROM events GROUP BY 1"
 
 
+def value_quartiles_narrowed(spark: SparkSession, root: str) -> DataFrame:
+    """Quartiles by type with room for few values: ranks are narrowed, as they are
+    in groups too large to be buffered."""
+    events = read_table(spark, root, "events")
+    narrowed = exact_quantiles(events, "value", profile.QUARTILES, ["event_type"], limit=10)
+    return _rounded(narrowed, "p25", "p50", "p75")
+
+
+VALUE_QUARTILES_NARROWED_SQL = """
+SELECT event_type, round(quantile_cont(value, 0.25), 6) AS p25,
+       round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.75), 6) AS p75
+FROM events GROUP BY 1
+"""
+
+
 def value_profile_by_user(spark: SparkSession, root: str) -> DataFrame:
     """As by type, over a key whose number of values grows with the data."""
     events = read_table(spark, root, "events")
@@ -201,6 +217,7 @@ QUERIES = {
     "value_profile": Query(value_profile, VALUE_PROFILE_SQL),
     "value_profile_by_type": Query(value_profile_by_type, VALUE_PROFILE_BY_TYPE_SQL),
     "value_profile_by_user": Query(value_profile_by_user, VALUE_PROFILE_BY_USER_SQL),
+    "value_quartiles_narrowed": Query(value_quartiles_narrowed, VALUE_QUARTILES_NARROWED_SQL),
     "line_profiles": Query(line_profiles, LINE_PROFILES_SQL),
     "value_outliers": Query(value_outliers, VALUE_OUTLIERS_SQL),
     "line_correlations": Query(line_correlations, LINE_CORRELATIONS_SQL),

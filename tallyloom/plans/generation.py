@@ -84,7 +84,7 @@ def _parent(name: str, table: str, hot_share: float = 0.0) -> str:
     key = f"{_draw(name)} % (SELECT count(*) FROM {table})"
     if not hot_share:
         return key
-    return f"CASE WHEN {_draw(name + '/hot')} % 1000 < {int(hot_share * 1000)} THEN 0 ELSE {key} END"
+    return f"CASE WHEN {_draw(name + '/hot')} % 1000000 < {round(hot_share * 1_000_000)} THEN 0 ELSE {key} END"
 
 
 def _day(name: str, first: str, n_days: int) -> str:
@@ -156,7 +156,7 @@ _TEXT_WORDS = " || ' ' || ".join(_choice(f"text/{n}", generator.WORDS, "origin")
 
 DOCUMENTS_SQL = f"""
 WITH i AS (SELECT doc_id AS id FROM documents),
-     o AS (SELECT id, CASE WHEN {_draw("text/copy")} % 1000 < 100 THEN 0 ELSE id END AS origin FROM i),
+     o AS (SELECT id, CASE WHEN {_draw("text/copy")} % 1000000 < 100000 THEN 0 ELSE id END AS origin FROM i),
      w AS (SELECT id, {_TEXT_WORDS} || ' ' || origin AS own, {_draw("text/style")} % 3 AS style FROM o),
      t AS (SELECT id, CASE style WHEN 0 THEN upper(own) WHEN 1 THEN own || '  ' ELSE own END AS text FROM w)
 SELECT id AS doc_id, text, {_choice("lang", generator.LANGS)} AS lang,

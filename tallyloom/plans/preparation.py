@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.money import cents, total_cents, total_revenue
 from tallyloom.functions.text_keys import exact_key, folded_key
 from tallyloom.operators import duplicates, quality, star
+from tallyloom.operators.quality import finite
 from tallyloom.plans.query import Query
 from tallyloom.sources import csv_files, sinks
 from tallyloom.sources.scratch import scratch_path
@@ -119,14 +120,14 @@ WHERE o_orderpriority = '4-NOT SPECIFIED' OR o_orderstatus = 'P'
 def customer_rules() -> quality.Rules:
     return {
         "customer name set": F.length(F.trim("c_name")) > 0,
-        "customer balance not negative": F.col("c_acctbal") >= 0,
+        "customer balance not negative": finite("c_acctbal") & (F.col("c_acctbal") >= 0),
         "customer segment known": F.col("c_mktsegment").isin(SEGMENTS),
     }
 
 
 def order_rules() -> quality.Rules:
     return {
-        "order price positive": F.col("o_totalprice") > 0,
+        "order price positive": finite("o_totalprice") & (F.col("o_totalprice") > 0),
         "order status known": F.col("o_orderstatus").isin(ORDER_STATUSES),
         "order priority set": F.col("o_orderpriority") != "4-NOT SPECIFIED",
     }
@@ -134,8 +135,8 @@ def order_rules() -> quality.Rules:
 
 def line_rules() -> quality.Rules:
     return {
-        "line quantity positive": F.col("l_quantity") > 0,
-        "line discount below 10 percent": F.col("l_discount") < 0.1,
+        "line quantity positive": finite("l_quantity") & (F.col("l_quantity") > 0),
+        "line discount below 10 percent": finite("l_discount") & (F.col("l_discount") < 0.1),
         "line open when not returned": (F.col("l_returnflag") != "N")
         | (F.col("l_linestatus") == "O"),
     }
@@ -147,6 +148,21 @@ def rule_violations(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def parsed_events(events: DataFrame) -> DataFrame:
+    """Events with their properties parsed beside the text they came in, and whether
+    that text could be read."""
+    props = F.from_json(
+        "props", "k BIGINT, unreadable STRING", {"columnNameOfCorruptRecord": "unreadable"}
+    )
+    readable = props.isNotNull() & props["unreadable"].isNull()
+    return events.withColumns({"k": props["k"], "props_readable": F.coalesce(readable, F.lit(False))})
+
+
+def unreadable_events(parsed: DataFrame) -> DataFrame:
+    """The rule that an event's properties can be read."""
+    return quality.count_violations(parsed, {"event properties readable": F.col("props_readable")})
+
+
 def violations_in(
     customer: DataFrame, orders: DataFrame, lineitem: DataFrame, part: DataFrame
 ) -> DataFrame:
@@ -177,12 +193,12 @@ RULE_VIOLATIONS_SQL = """
 SELECT 'customer name set' AS rule, count(*) AS n_checked,
        count(*) FILTER (WHERE length(trim(c_name)) = 0) AS n_violations FROM customer
 UNION ALL SELECT 'customer balance not negative', count(*),
-       count(*) FILTER (WHERE c_acctbal < 0) FROM customer
+       count(*) FILTER (WHERE NOT isfinite(c_acctbal) OR c_acctbal < 0) FROM customer
 UNION ALL SELECT 'customer segment known', count(*),
        count(*) FILTER (WHERE c_mktsegment NOT IN
          ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')) FROM customer
 UNION ALL SELECT 'order price positive', count(*),
-       count(*) FILTER (WHERE o_totalprice <= 0) FROM orders
+       count(*) FILTER (WHERE NOT isfinite(o_totalprice) OR o_totalprice <= 0) FROM orders
 UNION ALL SELECT 'order status known', count(*),
        count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O', 'P')) FROM orders
 UNION ALL SELECT 'order priority set', count(*),
@@ -214,6 +230,7 @@ UNION ALL SELECT 'line number unique', count(*),
 # Rules a customer must meet to be used further; broken ones name the reject reason.
 def customer_acceptance() -> quality.Rules:
     return {
+        "balance not a number": finite("c_acctbal"),
         "negative balance": F.col("c_acctbal") >= 0,
         "balance above 9000": F.col("c_acctbal") <= 9000,
         "segment not served": F.col("c_mktsegment") != "MACHINERY",
@@ -227,7 +244,8 @@ def customer_verdicts(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-_VERDICT_SQL = """CASE WHEN c_acctbal < 0 THEN 'negative balance'
+_VERDICT_SQL = """CASE WHEN c_acctbal IS NULL OR NOT isfinite(c_acctbal) THEN 'balance not a number'
+            WHEN c_acctbal < 0 THEN 'negative balance'
             WHEN c_acctbal > 9000 THEN 'balance above 9000'
             WHEN c_mktsegment = 'MACHINERY' THEN 'segment not served'
             ELSE 'pass' END"""
@@ -267,7 +285,8 @@ def folded_duplicates(spark: SparkSession, root: str) -> DataFrame:
 def _duplicates_sql(key: str) -> str:
     return f"""
 WITH g AS (SELECT {key} AS k, min(doc_id) AS doc_id, count(*) AS n_copies
-           FROM documents GROUP BY 1)
+           FROM documents WHERE text IS NOT NULL GROUP BY 1
+           UNION ALL SELECT NULL, doc_id, 1 FROM documents WHERE text IS NULL)
 SELECT d.doc_id, d.lang, d.source, d.n_chars, g.n_copies FROM g JOIN documents d USING (doc_id)
 """
 
@@ -308,6 +327,32 @@ def star_enrichment(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def lines_by_match(spark: SparkSession, root: str) -> DataFrame:
+    """Order lines by what they were matched with: all of them, none lost."""
+    tables = [
+        read_table(spark, root, t)
+        for t in ("lineitem", "orders", "customer", "part", "nation", "region")
+    ]
+    return (
+        star.matched_lines(*tables)
+        .groupBy("match")
+        .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("l_orderkey").alias("n_orders"))
+    )
+
+
+LINES_BY_MATCH_SQL = """
+SELECT CASE WHEN o_orderkey IS NULL THEN 'no order' WHEN c_custkey IS NULL THEN 'no customer'
+            WHEN r_regionkey IS NULL THEN 'no place' WHEN p_partkey IS NULL THEN 'no part'
+            ELSE 'matched' END AS match,
+       count(*) AS n, count(DISTINCT l_orderkey) AS n_orders
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
+LEFT JOIN customer ON o_custkey = c_custkey
+LEFT JOIN nation ON c_nationkey = n_nationkey
+LEFT JOIN region ON n_regionkey = r_regionkey
+LEFT JOIN part ON l_partkey = p_partkey
+GROUP BY 1
+"""
+
 STAR_ENRICHMENT_SQL = """
 SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice,
        CAST(year(o_orderdate) AS BIGINT) AS order_year, o_orderstatus, c_custkey,
@@ -326,11 +371,16 @@ def revenue_by_region_year(spark: SparkSession, root: str) -> DataFrame:
     )
     shipped = lineitem.where(F.col("l_shipdate") >= F.lit("1996-01-01").cast("timestamp_ntz"))
     per_order = star.order_totals(shipped)
-    return (
+    # A customer's orders are one row per year and task before they meet the customer.
+    per_customer = (
         per_order.join(orders, per_order.l_orderkey == orders.o_orderkey)
-        .join(customer, F.col("o_custkey") == customer.c_custkey)
+        .groupBy("o_custkey", F.year("o_orderdate").cast("bigint").alias("order_year"))
+        .agg(F.sum("revenue_units").alias("revenue_units"), F.sum("n").alias("n"))
+    )
+    return (
+        per_customer.join(customer, F.col("o_custkey") == customer.c_custkey)
         .join(star.places(nation, region), F.col("c_nationkey") == F.col("n_nationkey"))
-        .groupBy("r_name", F.year("o_orderdate").cast("bigint").alias("order_year"))
+        .groupBy("r_name", "order_year")
         .agg(total_revenue(F.col("revenue_units")).alias("revenue"), F.sum("n").alias("n"))
     )
 
@@ -381,5 +431,6 @@ QUERIES = {
     "folded_duplicates": Query(folded_duplicates, FOLDED_DUPLICATES_SQL),
     "event_props": Query(event_props, EVENT_PROPS_SQL),
     "star_enrichment": Query(star_enrichment, STAR_ENRICHMENT_SQL),
+    "lines_by_match": Query(lines_by_match, LINES_BY_MATCH_SQL),
     "partitioned_orders": Query(partitioned_orders, PARTITIONED_ORDERS_SQL),
 }

@@ -1,14 +1,12 @@
 """Intermediate tables in the cluster's shared folder.
 
 A table written here cuts lineage and survives the loss of an executor. The
-folder is the one the session names in ``spark.checkpoint.dir``; a local temp
-folder is used only in local mode, where driver and executors share one disk.
+folder is the one the session names in ``spark.checkpoint.dir``; in local mode,
+where it may be unset, one beside the session's warehouse.
 """
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,18 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 _KEY = "spark.checkpoint.dir"
 
 
-@functools.cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="tallyloom-")
-
-
 def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(_KEY, None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
     if not spark.conf.get("spark.master").startswith("local"):
         raise RuntimeError(f"set {_KEY} to a folder all executors can reach")
-    return _local_root()
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None) or "spark-warehouse"
+    return f"{warehouse.rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -52,3 +46,9 @@ def drop_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all that this application has written to the scratch folder."""
+    app = spark.sparkContext.applicationId
+    drop_path(spark, f"{scratch_root(spark).rstrip('/')}/tallyloom/{app}")

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 
 
 def write_partitioned(
-    df: DataFrame, path: str, by: str, gather: bool = True, whole: bool = False
+    df: DataFrame, path: str, by: str, gather: bool = True, whole: bool = False, within: str = ""
 ) -> None:
-    """Write ``df`` partitioned by ``by``. Only the partitions present in ``df``
+    """Write ``df`` partitioned by ``by``, and by ``within`` below it if given. Only the partitions present in ``df``
     are replaced, so a rerun of one period leaves the others alone; with
     ``whole`` the table is replaced, so no partition of an earlier run stays.
 
@@ -23,7 +23,7 @@ def write_partitioned(
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
-        .partitionBy(by)
+        .partitionBy(*[c for c in (by, within) if c])
         .parquet(path)
     )
 

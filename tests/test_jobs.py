@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from tallyloom import jobs
 from tallyloom.__main__ import main
-from tallyloom.sources.tables import read_table, schema_of, table_path
+from tallyloom.sources import csv_files
+from tallyloom.sources.tables import SCHEMAS, read_table, schema_of, table_path
 
 N_ORDERS = 3_000
+GENERATED = list(SCHEMAS)[:9]
 
 
 @pytest.fixture(scope="module")
@@ -126,3 +128,53 @@ def test_analyse_and_report(spark, delivered, tmp_path):
     values = {r["metric"]: r["value"] for r in figures.collect()}
     assert values["orders"] == N_ORDERS and values["order lines"] == 4 * N_ORDERS
     assert len(list((tmp_path / "report" / "key_figures").glob("part-*.json"))) == 1
+
+
+def test_a_dirty_delivery_loses_nothing(spark, delivered, tmp_path):
+    """Orders, customers and parts missing, an order repeated, unreadable properties,
+    blank lines, numbers that are none, documents without text."""
+    folder, _ = delivered
+    source = f"{folder}/csv"
+    dirty = str(tmp_path / "dirty")
+    tables = {t: spark.read.parquet(table_path(f"{folder}/parquet", t)) for t in GENERATED}
+    orders = tables["orders"].where("o_orderkey % 10 != 3")
+    again = orders.where("o_orderkey < 50").withColumn("o_totalprice", F.lit(float("nan")))
+    tables["orders"] = orders.unionByName(again)
+    tables["customer"] = tables["customer"].where("c_custkey % 7 != 1")
+    tables["part"] = tables["part"].where("p_partkey % 11 != 5")
+    props = F.when(F.col("event_id") < 4, "{broken").otherwise(F.lit('{"k": 1, "page": "home"}'))
+    tables["events"] = tables["events"].withColumn("props", props)
+    text = F.when(F.col("doc_id") >= 5, F.col("text"))
+    tables["documents"] = tables["documents"].withColumn("text", text)
+    for name, table in tables.items():
+        table.write.parquet(table_path(dirty, name))
+    out = str(tmp_path / "out")
+    jobs.prepare(spark, dirty, out)
+
+    delivered_lines = tables["lineitem"]
+    lines = spark.read.parquet(f"{out}/lines")
+    columns = delivered_lines.columns
+    assert lines.count() == delivered_lines.count()
+    assert not delivered_lines.exceptAll(lines.select(columns)).count()
+    by_match = {r["match"]: r["count"] for r in lines.groupBy("match").count().collect()}
+    assert set(by_match) == {"matched", "no order", "no customer", "no part"}
+    events = spark.read.parquet(f"{out}/events")
+    assert events.where("props = '{broken'").count() == 4
+    assert events.where("NOT props_readable").count() == 4
+    assert events.where("props LIKE '%home%' AND k = 1").count() == events.count() - 4
+    violations = {
+        r["rule"]: int(r["n_violations"])
+        for r in spark.read.option("header", True).csv(f"{out}/rule_violations").collect()
+    }
+    assert violations["event properties readable"] == 4
+    assert violations["order price positive"] == again.count() == violations["order key unique"]
+    assert spark.read.parquet(f"{out}/documents").where("text IS NULL").count() == 5
+    # Analyses and reports of a table with such numbers do not stop.
+    jobs.report(spark, dirty, str(tmp_path / "report"))
+
+    blank = spark.createDataFrame([("",), ("   ",), ("7,7,F,NaN,1995-01-01,5-LOW",), ("8,8,F,Infinity,1995-01-01,5-LOW",)], "value string")
+    spark.read.text(f"{source}/orders.csv").unionByName(blank).write.text(f"{tmp_path}/lines.csv")
+    table = csv_files.ingest_csv(spark, f"{tmp_path}/lines.csv", schema_of("orders"), f"{tmp_path}/in")
+    kept = {r[0] for r in csv_files.bad_lines(table).collect()}
+    assert {r[0] for r in blank.collect()} <= kept
+    assert table.count() == spark.read.text(f"{tmp_path}/lines.csv").count()

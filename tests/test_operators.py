@@ -87,10 +87,31 @@ def test_kept_row_carries_its_own_columns(spark):
     assert rows(kept) == [(1, "early", 2)]
 
 
-def test_null_texts_are_copies_of_one_another(spark):
-    df = spark.createDataFrame([(1, None), (2, None), (3, "")], "id int, t string")
-    kept = duplicates.keep_lowest(df, text_keys.exact_key("t"), "id", [])
-    assert rows(kept) == [(1, 2), (3, 1)]
+def test_null_texts_are_no_copies(spark):
+    df = spark.createDataFrame([(1, None), (2, None), (3, ""), (4, "")], "id int, t string")
+    kept = duplicates.keep_lowest(df, text_keys.exact_key("t"), "id", ["t"])
+    assert rows(kept) == [(1, None, 1), (2, None, 1), (3, "", 2)]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_one_row_per_repeated_key(spark):
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (None, "d"), (None, "e")], "k int, v string")
+    assert rows(duplicates.one_per_key(df, "k")) == [
+        (1, "a"), (2, "c"), (None, "d"), (None, "e")
+    ]
+
+
+NOT_FINITE = [float("nan"), float("inf"), float("-inf")]
+
+
+def test_numbers_that_are_not_finite(spark):
+    df = spark.createDataFrame([(1.0,), (None,), *[(x,) for x in NOT_FINITE]], "x double")
+    rules = {"x": quality.finite("x") & (F.col("x") > 0)}
+    assert rows(quality.count_violations(df, rules)) == [("x", 5, 4)]
+    assert rows(profile.histogram(df, "x", 5)) == [(0.0, 1), (None, 3)]
+    assert str(df.agg(money.total_cents(money.cents("x"))).first()[0]) == "1.00"
+    assert str(df.agg(money.total_revenue(money.revenue_units("x", "x"))).first()[0]) == "0.00"
 
 
 # money

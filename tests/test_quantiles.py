@@ -173,3 +173,22 @@ def test_not_a_number_sorts_last(spark):
     buffered = exact_quantiles(df, "v", probs).first()
     assert [repr(v) for v in narrowed] == [repr(v) for v in buffered]
     assert repr(narrowed[2]) == "nan"
+
+
+@pytest.mark.parametrize("p", [0.0, 0.25, 0.55, 0.9, 1.0])
+def test_the_three_ways_agree_bit_for_bit(spark, monkeypatch, p):
+    """Ties, infinities, NaN and a null group, whatever the room for values."""
+    inf, nan = float("inf"), float("nan")
+    values = [k / 7 for k in range(60)] + [123.45] * 41 + [inf] * 30 + [-inf] * 5 + [nan] * 3
+    rows = [(g, v) for g in ("a", None) for v in values + [None]]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    name = quantiles.quantile_name(p)
+
+    def found(limit, together):
+        monkeypatch.setattr(quantiles, "TOGETHER", together)
+        return {r["g"]: repr(r[name]) for r in quantiles.exact_quantiles(df, "v", [p], ["g"], limit).collect()}
+
+    buffered = found(10_000, 20)
+    assert found(100, 20) == buffered
+    assert found(1, 1) == buffered
+    assert found(10, 1) == buffered

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from types import SimpleNamespace
 
 import pytest
@@ -46,6 +47,15 @@ def test_the_configured_folder_is_used():
         assert path != scratch.scratch_path(session, "x")
 
 
-def test_local_mode_falls_back_to_a_temporary_folder():
+def test_local_mode_falls_back_to_the_warehouse():
     first = scratch.scratch_root(pretend("local[2]"))
-    assert first and first == scratch.scratch_root(pretend("local[2]"))
+    assert first.endswith("/_scratch") and first == scratch.scratch_root(pretend("local[2]"))
+
+
+def test_scratch_is_dropped(spark):
+    path = scratch.scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    other = scratch.scratch_path(spark, "y")
+    spark.range(2).write.parquet(other)
+    scratch.drop_path(spark, path)
+    assert not os.path.exists(path) and spark.read.parquet(other).count() == 2
