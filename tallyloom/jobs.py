@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.text_keys import folded_key
 from tallyloom.operators import duplicates, generator, quality, star
 from tallyloom.plans import analysis, preparation, reports
+from tallyloom.session import sized_for
 from tallyloom.sources import csv_files, sinks
 from tallyloom.sources.tables import read_table, schema_of, table_path
 
@@ -83,6 +84,8 @@ def prepare(spark: SparkSession, root: str, out: str, csv: bool = False) -> None
     customers and parts that repeat a key one is joined (the rules count them).
     """
 
+    sized_for(spark, root)
+
     def load(name: str) -> DataFrame:
         if not csv or name not in CSV_TABLES:
             return read_table(spark, root, name)
@@ -121,20 +124,19 @@ def prepare(spark: SparkSession, root: str, out: str, csv: bool = False) -> None
         region,
     )
     by_year = lines.withColumn("order_year", F.year("o_orderdate"))
-    # A few years in the widest table there is: not worth shuffling it once more.
-    sinks.write_partitioned(
-        by_year, f"{out}/lines", "match", gather=False, whole=True, within="order_year"
-    )
+    sinks.write_partitioned(by_year, f"{out}/lines", "match", whole=True, within="order_year")
 
 
 def analyse(spark: SparkSession, root: str, out: str) -> None:
     """Write every analysis under its name, as Parquet."""
+    sized_for(spark, root)
     for name, query in analysis.QUERIES.items():
         query.run(spark, root).write.mode("overwrite").parquet(f"{out}/{name}")
 
 
 def report(spark: SparkSession, root: str, out: str, fmt: str = "csv") -> None:
     """Write every report table under its name, as one CSV or JSON file each."""
+    sized_for(spark, root)
     for name, (table, order) in reports.TABLES.items():
         sinks.write_report(table(spark, root), f"{out}/{name}", fmt, order)
 

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.quality import finite
-from tallyloom.operators.quantiles import exact_quantiles, group_key, quantiles_by_key
+from tallyloom.operators.quantiles import (
+    column_quantiles,
+    exact_quantiles,
+    group_key,
+    quantiles_by_key,
+)
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -49,19 +53,13 @@ def group_profile(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
 def column_profiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """:func:`profile` of several columns, one row each.
 
-    The moments of all columns take one scan; the quartiles of a column scan
-    that column alone.
+    The moments of all columns take one scan, their quartiles two more unless a
+    column has too many distinct values for a buffer.
     """
     names = ["n", "mean", "sd", "min", "max"]
     per_column = [F.struct(F.lit(c).alias("column_name"), *_moments(c)) for c in columns]
     moments = df.agg(F.array(*per_column).alias("rows")).select(F.inline("rows"))
-    quartiles = reduce(
-        DataFrame.unionByName,
-        [
-            exact_quantiles(df, c, QUARTILES).withColumn("column_name", F.lit(c))
-            for c in columns
-        ],
-    )
+    quartiles = column_quantiles(df, columns, QUARTILES)
     return moments.join(quartiles, "column_name", "left").select(
         "column_name", *names, "p25", "p50", "p75"
     )

@@ -46,18 +46,30 @@ def check_reference(
     has_parent: str,
     has_child: str | None = None,
     unique: str | None = None,
+    child_number: str | None = None,
+    number_unique: str | None = None,
 ) -> DataFrame:
-    """Violations of up to three rules about one reference from child to parent.
+    """Violations of up to four rules about one reference from child to parent.
 
     ``has_parent``: child rows whose key no parent has (a null key included);
     ``has_child``: parent rows no child refers to; ``unique``: parent rows
-    beyond the first under a key.
+    beyond the first under a key; ``number_unique``: child rows beyond the first
+    under a key and ``child_number``.
 
     Both sides are counted per key before they meet, so a key held by much of
     either table is one row in the join, and the join reuses the partitioning
-    of the counts. One scan and one shuffle of each side serve all three rules.
+    of the counts. One scan of each side serves all rules. Children are counted by
+    number first, so that a key held by much of the table is folded by each task.
     """
-    children = child.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    if number_unique:
+        numbered = child.groupBy(key, child_number).agg(F.count(F.lit(1)).alias("_n"))
+        children = numbered.groupBy(F.col(key).alias("_key")).agg(
+            F.sum("_n").alias("_n"), F.sum(F.col("_n") - 1).alias("_again")
+        )
+    else:
+        children = child.groupBy(F.col(key).alias("_key")).agg(
+            F.count(F.lit(1)).alias("_n"), F.lit(0).alias("_again")
+        )
     parents = parent.groupBy(F.col(parent_key).alias("_key")).agg(F.count(F.lit(1)).alias("_m"))
 
     def total(rows: Column) -> Column:
@@ -67,6 +79,7 @@ def check_reference(
         (has_parent, "_n", F.when(F.col("_m").isNull(), F.col("_n"))),
         (has_child, "_m", F.when(F.col("_n").isNull(), F.col("_m"))),
         (unique, "_m", F.col("_m") - 1),
+        (number_unique, "_n", F.col("_again")),
     ]
     rows = F.array(
         *[

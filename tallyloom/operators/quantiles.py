@@ -80,15 +80,50 @@ def exact_quantiles(
     limit = LIMIT if limit is None else limit
     rows = _values(df, value, F.struct(F.lit(0).alias("_all")).alias("_key"))
     n, distinct = rows.agg(F.count(F.lit(1)), F.approx_count_distinct("_v")).first()
-    if n <= TOGETHER * limit:
+    if fits(n, limit):
         result = _buffered(rows, probs)
-    elif distinct <= TOGETHER * limit:
+    elif fits(distinct, limit):
         result = _counted(rows, probs)
     else:
         result = _narrowed(rows, probs, limit, grouped=False)
     return result.drop("_key")
 
 
+def fits(entries: int, limit: int | None = None) -> bool:
+    """Whether one buffer may hold so many entries."""
+    return entries <= TOGETHER * (LIMIT if limit is None else limit)
+
+
+def column_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], limit: int | None = None
+) -> DataFrame:
+    """One row per column: ``column_name`` and one column per quantile.
+
+    One scan finds the size and spread of all columns, one more answers all whose
+    values or distinct values fit a buffer; only wide columns are narrowed each on
+    its own.
+    """
+    limit = LIMIT if limit is None else limit
+    doubles = {c: F.col(c).cast("double") for c in columns}
+    probe = df.agg(
+        *[F.struct(F.count(c), F.approx_count_distinct(v)) for c, v in doubles.items()]
+    ).first()
+    narrow, wide = [], []
+    for c, (n, distinct) in zip(columns, probe, strict=True):
+        (narrow if fits(n, limit) or fits(distinct, limit) else wide).append(c)
+    parts = []
+    if narrow:
+        values = [F.struct(F.lit(c).alias("column_name"), doubles[c].alias("_v")) for c in narrow]
+        rows = df.select(F.inline(F.array(*values))).where("_v IS NOT NULL")
+        rows = rows.select(F.struct("column_name").alias("_key"), "_v")
+        parts.append(_counted(rows, probs).select("_key.*", *[quantile_name(p) for p in probs]))
+    for c in wide:
+        rows = _values(df, c, F.struct(F.lit(0).alias("_all")).alias("_key"))
+        found = _narrowed(rows, probs, limit, grouped=False).drop("_key")
+        parts.append(found.select(F.lit(c).alias("column_name"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def quantiles_by_key(
     df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str], limit: int | None = None
 ) -> DataFrame:
@@ -97,12 +132,14 @@ def quantiles_by_key(
     rows = _values(df, value, group_key(by))
 
     sizes = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
-    large = written(sizes.where(F.col("_n") > limit), "quantile-large-groups")
-    n_large = large.agg(F.sum("_n")).first()[0]
+    sizes = written(sizes, "quantile-sizes")
+    is_large = F.col("_n") > limit
+    n_all, n_large = sizes.agg(F.sum("_n"), F.sum(F.when(is_large, F.col("_n")))).first()
     if not n_large:
         return _buffered(rows, probs)
+    large = sizes.where(is_large)
     parts = []
-    if n_large < rows.count():
+    if n_large < n_all:
         parts.append(_buffered(rows.join(large, "_key", "left_anti"), probs))
         rows = rows.join(large, "_key", "left_semi")
 

@@ -182,9 +182,10 @@ def violations_in(
                 "line has order",
                 has_child="order has lines",
                 unique="order key unique",
+                child_number="l_linenumber",
+                number_unique="line number unique",
             ),
             quality.check_reference(lineitem, "l_partkey", part, "p_partkey", "line has part"),
-            quality.count_repeats(lineitem, ["l_orderkey", "l_linenumber"], "line number unique"),
         ]
     )
 

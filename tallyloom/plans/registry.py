@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.plans import analysis, generation, preparation, reports
 from tallyloom.plans.query import Query, plain
+from tallyloom.session import sized_for
 
 FLAGSHIP = "revenue_by_region_year"
 
@@ -21,6 +22,7 @@ QUERIES: dict[str, Query] = {
 
 def runner(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, root: str) -> DataFrame:
+        sized_for(spark, root)
         return plain(QUERIES[name].run(spark, root))
 
     return run

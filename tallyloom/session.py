@@ -17,11 +17,34 @@ SETTINGS = {
 
 # What Spark sets spark.sql.shuffle.partitions to when nobody does.
 _SHUFFLE_KEY, _SHUFFLE_DEFAULT = "spark.sql.shuffle.partitions", "200"
+# Remembers the number this module has set.
+_OWN_KEY = "tallyloom.shuffle.partitions"
 
 
-def shuffle_partitions(cores: int) -> int:
-    """A number to start shuffles with on a cluster; AQE coalesces it by size."""
-    return max(2_000, 4 * cores)
+# Bytes of a shuffle partition aimed at, and rows in memory to bytes of a file.
+PARTITION_BYTES, EXPANSION = 128 << 20, 3
+
+
+def shuffle_partitions(cores: int, size: int = 0) -> int:
+    """A number to start shuffles with on a cluster, for ``size`` bytes of input; AQE
+    coalesces partitions that are too small, but splits only skewed ones."""
+    return max(2_000, 4 * cores, -(-size * EXPANSION // PARTITION_BYTES))
+
+
+def sized_for(spark: SparkSession, root: str) -> None:
+    """Raise the session's shuffle partitions to what the tables under ``root`` need,
+    unless it runs locally or the number was set by someone else."""
+    if spark.sparkContext.master.startswith("local"):
+        return
+    now = spark.conf.get(_SHUFFLE_KEY)
+    if now not in (_SHUFFLE_DEFAULT, spark.conf.get(_OWN_KEY, None)):
+        return
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size = files.getContentSummary(path).getLength()
+    needed = str(shuffle_partitions(spark.sparkContext.defaultParallelism, size))
+    spark.conf.set(_SHUFFLE_KEY, needed)
+    spark.conf.set(_OWN_KEY, needed)
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -41,4 +64,5 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     if on_cluster and spark.conf.get(_SHUFFLE_KEY) == _SHUFFLE_DEFAULT:
         cores = spark.sparkContext.defaultParallelism
         spark.conf.set(_SHUFFLE_KEY, str(shuffle_partitions(cores)))
+        spark.conf.set(_OWN_KEY, spark.conf.get(_SHUFFLE_KEY))
     return spark

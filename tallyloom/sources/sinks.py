@@ -19,11 +19,12 @@ def write_partitioned(
     Without it nothing is shuffled and each task writes a file per value it
     holds: right for a large table with few values, where such files are large.
     """
-    rows = df.hint("rebalance", by) if gather else df
+    keys = [c for c in (by, within) if c]
+    rows = df.hint("rebalance", *keys) if gather else df
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
-        .partitionBy(*[c for c in (by, within) if c])
+        .partitionBy(*keys)
         .parquet(path)
     )
 

@@ -92,6 +92,18 @@ def test_nothing_lost(spark, prepared, delivered):
     assert lines.count() == read_table(spark, source, "lineitem").count()
 
 
+def test_files_of_a_year_do_not_grow_with_tasks(spark, delivered, tmp_path):
+    folder, _ = delivered
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        jobs.prepare(spark, f"{folder}/parquet", str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    years = list((tmp_path / "out" / "lines" / "match=matched").glob("order_year=*"))
+    assert years and all(len(list(y.glob("*.parquet"))) == 1 for y in years)
+
+
 def test_a_year_of_lines_is_read_alone(spark, prepared):
     year = spark.read.parquet(f"{prepared}/parquet/lines").where("order_year = 1997")
     plan = year._jdf.queryExecution().executedPlan().toString()

@@ -7,7 +7,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from tallyloom.session import shuffle_partitions
+from tallyloom.session import shuffle_partitions, sized_for
 from tallyloom.sources import scratch
 
 
@@ -29,6 +29,30 @@ def test_local_settings_are_left_alone(spark):
 def test_shuffle_partitions():
     assert shuffle_partitions(8) == 2_000
     assert shuffle_partitions(8_000) == 32_000
+    assert shuffle_partitions(8_000, 100 << 40) == 3 * (100 << 40) >> 27
+
+
+def test_larger_inputs_get_more_partitions(monkeypatch):
+    def partitions(size, now="200"):
+        conf = {"spark.sql.shuffle.partitions": now}
+        path = SimpleNamespace(
+            getFileSystem=lambda _: SimpleNamespace(
+                getContentSummary=lambda _: SimpleNamespace(getLength=lambda: size)
+            )
+        )
+        hadoop = SimpleNamespace(apache=SimpleNamespace(hadoop=SimpleNamespace(fs=SimpleNamespace(Path=lambda _: path))))
+        context = SimpleNamespace(
+            master="yarn", defaultParallelism=100, _jvm=SimpleNamespace(org=hadoop),
+            _jsc=SimpleNamespace(hadoopConfiguration=lambda: None),
+        )
+        sized_for(SimpleNamespace(
+            conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d), set=conf.__setitem__),
+            sparkContext=context,
+        ), "hdfs:///in")
+        return int(conf["spark.sql.shuffle.partitions"])
+
+    assert partitions(1 << 30) == 2_000 < partitions(1 << 40) < partitions(100 << 40)
+    assert partitions(100 << 40, now="77") == 77
 
 
 def test_a_cluster_needs_a_shared_folder():
