@@ -30,7 +30,9 @@ from tallyloom.sources.scratch import written
 # the examples that hold it, the G statistic of its association with the label,
 # and the share of documents above which a word is too common to tell anything.
 EXAMPLES, TERMS, MIN_EXAMPLES, MIN_G, COMMON = 4_000, 2_000, 5, 25.0, 0.1
-NEIGHBOURS, BLOCK, PREFIX = 16, 64, 5
+NEIGHBOURS, BLOCK = 16, 64
+# Lengths of the beginnings of longer words that are features too.
+PREFIXES = (4, 5)
 THRESHOLD = 0.7
 # Cosines this close are ties.
 ROUNDING = 1e-12
@@ -43,8 +45,9 @@ def features(text: str | None) -> Counter:
     words = Counter(WORD.findall((text or "").lower()))
     starts: Counter = Counter()
     for word, n in words.items():
-        if len(word) > PREFIX:
-            starts[word[:PREFIX] + "*"] += n
+        for k in PREFIXES:
+            if len(word) > k:
+                starts[word[:k] + "*"] += n
     words.update(starts)
     return words
 
