@@ -39,7 +39,8 @@ def _unescaped_role(role: Column) -> Column:
 
 def format_conversations(turns: DataFrame, assistant: str = "assistant") -> DataFrame:
     """One row per conversation: conv_id, ``formatted`` text and ``loss_spans``, an
-    array of (start, length) in code points of the texts to be learned.
+    array of the texts to be learned: (start, length) in code points, and the same
+    in UTF-8 bytes (byte_start, byte_length).
 
     ``turns`` has conv_id, turn, role, text; other columns are ignored. Turns are
     ordered by turn, then role, then text (nulls first); repeated rows are kept.
@@ -74,16 +75,25 @@ def format_conversations(turns: DataFrame, assistant: str = "assistant") -> Data
 
     pieces = gathered.select("conv_id", let(F.col("turns"), parts).alias("parts"))
     # Where each text begins: the lengths before it, summed in one pass.
-    no_spans = F.array().cast("array<struct<start:bigint,length:bigint>>")
-    begin = F.struct(F.lit(0).cast("long").alias("at"), no_spans.alias("spans"))
+    no_spans = F.array().cast(
+        "array<struct<start:bigint,length:bigint,byte_start:bigint,byte_length:bigint>>"
+    )
+    zero = F.lit(0).cast("long")
+    begin = F.struct(zero.alias("at"), zero.alias("byte"), no_spans.alias("spans"))
 
     def step(acc: Column, p: Column) -> Column:
-        head = F.length(p["head"]).cast("long")
-        body = F.length(p["body"]).cast("long")
-        start = acc["at"] + head
-        span = F.struct(start.alias("start"), body.alias("length"))
+        body, body_bytes = F.length(p["body"]).cast("long"), F.octet_length(p["body"]).cast("long")
+        start = acc["at"] + F.length(p["head"])
+        byte = acc["byte"] + F.octet_length(p["head"])
+        span = F.struct(
+            start.alias("start"),
+            body.alias("length"),
+            byte.alias("byte_start"),
+            body_bytes.alias("byte_length"),
+        )
         return F.struct(
             (start + body + F.length(p["tail"])).alias("at"),
+            (byte + body_bytes + F.octet_length(p["tail"])).alias("byte"),
             F.when(p["learned"], F.concat(acc["spans"], F.array(span)))
             .otherwise(acc["spans"])
             .alias("spans"),
@@ -119,16 +129,19 @@ def read_turns(formatted: Column) -> Column:
 
 
 def loss_text(formatted: Column, spans: Column) -> Column:
-    """What lies under the loss mask, unescaped, nothing in between."""
-    return F.array_join(
-        F.transform(
-            spans,
-            lambda s: unescaped(
-                F.substring(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int"))
-            ),
-        ),
-        "",
-    )
+    """What lies under the loss mask, unescaped, nothing in between.
+
+    Cut by bytes, so that no cut has to count the characters before it.
+    """
+
+    def cut(data: Column) -> Column:
+        def one(s: Column) -> Column:
+            at, size = (s["byte_start"] + 1).cast("int"), s["byte_length"].cast("int")
+            return unescaped(F.decode(F.substring(data, at, size), "UTF-8"))
+
+        return F.transform(spans, one)
+
+    return F.array_join(let(F.encode(formatted, "UTF-8"), cut), "")
 
 
 def turns_digest(turns: Column) -> Column:
