@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the characters folded to one blank.
-BLANKS = "[ \\t\\n\\r\\f]+"
+# Runs of blanks (space, tab, line feed, carriage return, form feed) that are not
+# one space already; most blanks of a text are, and are left alone.
+BLANKS = "[ \\t\\n\\r\\f]{2,}|[\\t\\n\\r\\f]"
 
 
 def exact_key(text: str) -> Column:

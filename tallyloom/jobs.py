@@ -110,7 +110,9 @@ def prepare(spark: SparkSession, root: str, out: str, csv: bool = False) -> None
     )
 
     carried = [c for c in documents.columns if c != "doc_id"]
-    unique = duplicates.keep_lowest(documents, folded_key("text"), "doc_id", carried)
+    unique = duplicates.keep_lowest(
+        documents, folded_key("text"), "doc_id", carried, missing=F.col("text").isNull()
+    )
     unique.write.mode("overwrite").parquet(f"{out}/documents")
 
     parsed.write.mode("overwrite").parquet(f"{out}/events")

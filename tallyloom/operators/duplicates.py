@@ -9,24 +9,32 @@ from tallyloom.sources.scratch import written
 
 
 def keep_lowest(
-    df: DataFrame, key: Column, row_id: str, carry: list[str], copies: str = "n_copies"
+    df: DataFrame,
+    key: Column,
+    row_id: str,
+    carry: list[str],
+    copies: str = "n_copies",
+    missing: Column | None = None,
 ) -> DataFrame:
     """One row per ``key``: the one with the lowest ``row_id``, its ``carry``
     columns and the number of rows that shared the key. A row whose key is null is
     a copy of no other. ``row_id`` must be free of repeats.
 
-    Digests and ids alone are aggregated, by hash, each task folding its copies
-    first; the kept rows' columns are then fetched by id, once.
+    ``missing`` tells which rows have no key, for keys that are costly to compute:
+    with it, a key is computed once per row. Digests and ids alone are aggregated,
+    by hash, each task folding its copies first; the kept rows' columns are then
+    fetched by id, once.
     """
-    rows = df.select(row_id, *carry, key.alias("_key"))
+    missing = key.isNull() if missing is None else missing
     kept = (
-        rows.where("_key IS NOT NULL")
-        .groupBy("_key")
+        df.where(~missing)
+        .groupBy(key.alias("_key"))
         .agg(F.min(row_id).alias("_kept"), F.count(F.lit(1)).alias("_n"))
         .select("_kept", "_n")
     )
+    rows = df.select(row_id, *carry, missing.alias("_missing"))
     found = rows.join(kept, rows[row_id] == kept["_kept"], "left")
-    return found.where("_key IS NULL OR _kept IS NOT NULL").select(
+    return found.where("_missing OR _kept IS NOT NULL").select(
         row_id, *carry, F.coalesce("_n", F.lit(1)).alias(copies)
     )
 

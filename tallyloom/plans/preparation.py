@@ -272,7 +272,9 @@ FROM customer GROUP BY 1
 
 def _unique_documents(spark: SparkSession, root: str, key) -> DataFrame:
     documents = read_table(spark, root, "documents")
-    return duplicates.keep_lowest(documents, key, "doc_id", ["lang", "source", "n_chars"])
+    return duplicates.keep_lowest(
+        documents, key, "doc_id", ["lang", "source", "n_chars"], missing=F.col("text").isNull()
+    )
 
 
 def exact_duplicates(spark: SparkSession, root: str) -> DataFrame:

@@ -72,6 +72,12 @@ def test_reference_check_shuffles_each_side_once(plans):
     assert plan.count("Exchange hashpartitioning(l_orderkey#") == 2  # alone and with line number
 
 
+def test_each_text_is_digested_once(plans):
+    for name in ("exact_duplicates", "folded_duplicates"):
+        assert plans[name].count("sha2(") == 1
+        assert "SortAggregate" not in plans[name]
+
+
 def test_declared_schemas_match_the_files(spark, sf001):
     for name in SCHEMAS:
         declared = read_table(spark, sf001, name).schema
