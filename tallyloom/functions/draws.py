@@ -34,6 +34,11 @@ def choice(seed: int, name: str, row_id: Column, values: Sequence[str]) -> Colum
     return F.element_at(options, (draw(seed, name, row_id) % len(values) + 1).cast("int"))
 
 
+def is_hot(seed: int, name: str, row_id: Column, share: float) -> Column:
+    """Whether a row is one of the ``share`` that take the first key."""
+    return draw(seed, f"{name}/hot", row_id) % 1_000_000 < round(share * 1_000_000)
+
+
 def parent_key(
     seed: int, name: str, row_id: Column, n_parents: Column | int, hot_share: float = 0.0
 ) -> Column:
@@ -42,8 +47,7 @@ def parent_key(
     key = draw(seed, name, row_id) % n
     if not hot_share:
         return key
-    is_hot = draw(seed, f"{name}/hot", row_id) % 1_000_000 < round(hot_share * 1_000_000)
-    return F.when(is_hot, F.lit(0).cast("bigint")).otherwise(key)
+    return F.when(is_hot(seed, name, row_id, hot_share), F.lit(0).cast("bigint")).otherwise(key)
 
 
 def moment(seed: int, name: str, row_id: Column, first: str, n_days: int) -> Column:

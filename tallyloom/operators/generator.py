@@ -7,10 +7,13 @@ seed give the same row on any cluster.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.functions.draws import choice, draw, hundredths, moment, parent_key, whole
+from tallyloom.functions.draws import choice, draw, hundredths, is_hot, moment, parent_key, whole
+from tallyloom.sources.scratch import written
 
 # The domains of the categorical columns.
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
@@ -55,6 +58,65 @@ def _label(prefix: str, row_id: Column) -> Column:
     return F.concat(F.lit(prefix), F.lpad(digits, width, F.lit("0")))
 
 
+class Parents(NamedTuple):
+    """Keys that rows may refer to: ``n`` of them, ``first`` the smallest. They follow
+    one another without gaps unless ``numbered`` holds each (``parent``) with its
+    ``place``, from 0, in their order."""
+
+    n: int
+    first: int = 0
+    numbered: DataFrame | None = None
+
+
+def parents_of(table: DataFrame, key: str) -> Parents:
+    """The distinct keys of a table; nulls are none.
+
+    Keys with gaps are numbered without a window over all of them: they are
+    range-partitioned and written, so that their partitions stay what they are,
+    then numbered within each partition after all of those before it.
+    """
+    found = F.col(key).cast("bigint")
+    facts = table.agg(
+        F.count_distinct(found).alias("n"), F.min(found).alias("low"), F.max(found).alias("high")
+    ).first()
+    if not facts.n:
+        return Parents(0)
+    if facts.high - facts.low + 1 == facts.n:
+        return Parents(facts.n, facts.low)
+    keys = table.select(found.alias("parent")).where("parent IS NOT NULL").distinct()
+    ranged = keys.repartitionByRange("parent").withColumn("part", F.spark_partition_id())
+    ranged = written(ranged, "parent-keys")
+    # One row per shuffle partition.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
+    starts = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("parent")) - 1
+    numbered = ranged.join(starts, "part").select("parent", (F.col("start") + place).alias("place"))
+    return Parents(facts.n, facts.low, written(numbered, "parents"))
+
+
+def _with_parent(
+    rows: DataFrame, column: str, seed: int, parents: Parents | int, hot_share: float = 0.0
+) -> DataFrame:
+    """``rows`` with a drawn key of ``parents`` (a number n: keys from 0 to n - 1) as
+    ``column``, null if there are none; ``hot_share`` of the rows take the first."""
+    if isinstance(parents, int):
+        parents = Parents(parents)
+    i = F.col("id")
+    if not parents.n:
+        return rows.withColumn(column, F.lit(None).cast("bigint"))
+    if parents.numbered is None:
+        drawn = parent_key(seed, column, i, parents.n, hot_share)
+        return rows.withColumn(column, F.lit(parents.first) + drawn)
+    # Hot rows draw a place like all others, so no place is hot in the join.
+    placed = rows.withColumn("_place", parent_key(seed, column, i, parents.n))
+    key = F.col("parent")
+    if hot_share:
+        key = F.when(is_hot(seed, column, i, hot_share), F.lit(parents.first)).otherwise(key)
+    joined = placed.join(parents.numbered, F.col("_place") == F.col("place"))
+    return joined.select(*rows.columns, key.alias(column))
+
+
 def customers(ids: DataFrame, seed: int) -> DataFrame:
     i = F.col("id")
     return ids.select(
@@ -91,13 +153,13 @@ def parts(ids: DataFrame, seed: int) -> DataFrame:
 
 
 def orders(
-    ids: DataFrame, seed: int, n_customers: Column | int, hot_share: float = 0.0
+    ids: DataFrame, seed: int, customers: Parents | int, hot_share: float = 0.0
 ) -> DataFrame:
-    """``hot_share`` of the orders go to customer 0."""
+    """``hot_share`` of the orders go to the first customer."""
     i = F.col("id")
-    return ids.select(
+    return _with_parent(ids, "o_custkey", seed, customers, hot_share).select(
         i.alias("o_orderkey"),
-        parent_key(seed, "o_custkey", i, n_customers, hot_share).alias("o_custkey"),
+        "o_custkey",
         choice(seed, "o_orderstatus", i, STATUSES).alias("o_orderstatus"),
         hundredths(seed, "o_totalprice", i, 100_000, 49_999_999).alias("o_totalprice"),
         moment(seed, "o_orderdate", i, FIRST_ORDER_DAY, N_ORDER_DAYS).alias("o_orderdate"),
@@ -108,18 +170,21 @@ def orders(
 def lines(
     ids: DataFrame,
     seed: int,
-    n_orders: Column | int,
-    n_parts: Column | int,
-    n_suppliers: Column | int,
+    orders: Parents | int,
+    parts: Parents | int,
+    suppliers: Parents | int,
     hot_share: float = 0.0,
 ) -> DataFrame:
-    """``hot_share`` of the lines go to part 0."""
+    """``hot_share`` of the lines go to the first part."""
     i = F.col("id")
     quantity = whole(seed, "l_quantity", i, 1, 50)
-    return ids.select(
-        parent_key(seed, "l_orderkey", i, n_orders).alias("l_orderkey"),
-        parent_key(seed, "l_partkey", i, n_parts, hot_share).alias("l_partkey"),
-        parent_key(seed, "l_suppkey", i, n_suppliers).alias("l_suppkey"),
+    rows = _with_parent(ids, "l_orderkey", seed, orders)
+    rows = _with_parent(rows, "l_partkey", seed, parts, hot_share)
+    rows = _with_parent(rows, "l_suppkey", seed, suppliers)
+    return rows.select(
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
         whole(seed, "l_linenumber", i, 1, 7).cast("int").alias("l_linenumber"),
         quantity.cast("double").alias("l_quantity"),
         hundredths(seed, "l_extendedprice", i, 90_000, 10_500_000).alias("l_extendedprice"),
@@ -131,8 +196,10 @@ def lines(
     )
 
 
-def events(ids: DataFrame, seed: int, n_users: Column | int, hot_share: float = 0.0) -> DataFrame:
-    """``hot_share`` of the events belong to user 0."""
+def events(
+    ids: DataFrame, seed: int, users: Parents | int, hot_share: float = 0.0
+) -> DataFrame:
+    """``hot_share`` of the events belong to the first user."""
     i = F.col("id")
     day = moment(seed, "ts", i, FIRST_EVENT_DAY, N_EVENT_DAYS)
     second = whole(seed, "ts/second", i, 0, 86_399)
@@ -140,10 +207,10 @@ def events(ids: DataFrame, seed: int, n_users: Column | int, hot_share: float =
     step = whole(seed, "value", i, 0, 22_000)
     square = (step * step / 10_000).cast("bigint")
     cents = (square * square / 48_400).cast("bigint")
-    return ids.select(
+    return _with_parent(ids, "user_id", seed, users, hot_share).select(
         i.alias("event_id"),
         (day + F.make_dt_interval(secs=second)).alias("ts"),
-        parent_key(seed, "user_id", i, n_users, hot_share).alias("user_id"),
+        "user_id",
         choice(seed, "event_type", i, EVENT_TYPES).alias("event_type"),
         (cents.cast("double") / 100.0).alias("value"),
         F.format_string('{"k": %d}', whole(seed, "props", i, 0, 99)).alias("props"),

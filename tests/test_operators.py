@@ -143,6 +143,30 @@ def test_names_of_large_ids_stay_distinct(spark):
     assert names == ["Customer#000000007", "Customer#1234567890123"]
 
 
+@pytest.mark.parametrize("hot_share", [0.0, 0.3])
+def test_parents_with_gaps_are_drawn_by_place(spark, hot_share):
+    keys = sorted([7 * k * k - 1000 for k in range(300)])
+    table = spark.createDataFrame([(k,) for k in keys + keys[:9] + [None]], "c int")
+    parents = generator.parents_of(table, "c")
+    assert (parents.n, parents.first) == (300, -1000)
+    numbered = parents.numbered.select("place", "parent").collect()
+    assert sorted(map(tuple, numbered)) == list(enumerate(keys))
+    ids = spark.range(4000)
+    place = draws.parent_key(5, "o_custkey", F.col("id"), 300, hot_share)
+    drawn = {r["id"]: keys[r["place"]] for r in ids.select("id", place.alias("place")).collect()}
+    made = generator.orders(ids, 5, parents, hot_share).select("o_orderkey", "o_custkey")
+    assert dict(map(tuple, made.collect())) == drawn
+
+
+def test_parents_without_gaps_and_none(spark):
+    assert generator.parents_of(spark.range(40, 90), "id") == (50, 40, None)
+    ids = spark.range(2000)
+    users = {r["user_id"] for r in generator.events(ids, 1, generator.Parents(50, 40)).collect()}
+    assert users == set(range(40, 90))
+    none = generator.parents_of(spark.createDataFrame([(None,)], "k long"), "k")
+    assert {r["user_id"] for r in generator.events(ids, 1, none).collect()} == {None}
+
+
 def test_parent_keys_stay_in_range(spark):
     n_parents = 3_000_000_000
     keys = spark.range(20_000).select(draws.parent_key(1, "k", F.col("id"), n_parents).alias("k"))
