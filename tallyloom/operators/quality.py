@@ -48,8 +48,10 @@ def check_reference(
     unique: str | None = None,
     child_number: str | None = None,
     number_unique: str | None = None,
+    child_rules: Rules | None = None,
 ) -> DataFrame:
-    """Violations of up to four rules about one reference from child to parent.
+    """Violations of up to four rules about one reference from child to parent, and
+    of ``child_rules`` about single child rows, which need no scan of their own.
 
     ``has_parent``: child rows whose key no parent has (a null key included);
     ``has_child``: parent rows no child refers to; ``unique``: parent rows
@@ -61,14 +63,23 @@ def check_reference(
     of the counts. One scan of each side serves all rules. Children are counted by
     number first, so that a key held by much of the table is folded by each task.
     """
+    single = child_rules or {}
+    broken_rows = [F.count_if(_broken(c)).alias(f"_r{i}") for i, c in enumerate(single.values())]
     if number_unique:
-        numbered = child.groupBy(key, child_number).agg(F.count(F.lit(1)).alias("_n"))
+        numbered = child.groupBy(key, child_number).agg(
+            F.count(F.lit(1)).alias("_n"),
+            *broken_rows,
+        )
         children = numbered.groupBy(F.col(key).alias("_key")).agg(
-            F.sum("_n").alias("_n"), F.sum(F.col("_n") - 1).alias("_again")
+            F.sum("_n").alias("_n"),
+            F.sum(F.col("_n") - 1).alias("_again"),
+            *[F.sum(f"_r{i}").alias(f"_r{i}") for i in range(len(single))],
         )
     else:
         children = child.groupBy(F.col(key).alias("_key")).agg(
-            F.count(F.lit(1)).alias("_n"), F.lit(0).alias("_again")
+            F.count(F.lit(1)).alias("_n"),
+            F.lit(0).alias("_again"),
+            *broken_rows,
         )
     parents = parent.groupBy(F.col(parent_key).alias("_key")).agg(F.count(F.lit(1)).alias("_m"))
 
@@ -80,6 +91,7 @@ def check_reference(
         (has_child, "_m", F.when(F.col("_n").isNull(), F.col("_m"))),
         (unique, "_m", F.col("_m") - 1),
         (number_unique, "_n", F.col("_again")),
+        *[(rule, "_n", F.col(f"_r{i}")) for i, rule in enumerate(single)],
     ]
     rows = F.array(
         *[

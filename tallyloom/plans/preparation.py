@@ -169,10 +169,13 @@ def violations_in(
     return quality.rule_report(
         [
             quality.count_violations(customer, customer_rules()),
-            quality.count_violations(orders, order_rules()),
-            quality.count_violations(lineitem, line_rules()),
             quality.check_reference(
-                orders, "o_custkey", customer, "c_custkey", "order has customer"
+                orders,
+                "o_custkey",
+                customer,
+                "c_custkey",
+                "order has customer",
+                child_rules=order_rules(),
             ),
             quality.check_reference(
                 lineitem,
@@ -185,7 +188,14 @@ def violations_in(
                 child_number="l_linenumber",
                 number_unique="line number unique",
             ),
-            quality.check_reference(lineitem, "l_partkey", part, "p_partkey", "line has part"),
+            quality.check_reference(
+                lineitem,
+                "l_partkey",
+                part,
+                "p_partkey",
+                "line has part",
+                child_rules=line_rules(),
+            ),
         ]
     )
 

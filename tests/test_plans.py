@@ -72,6 +72,12 @@ def test_reference_check_shuffles_each_side_once(plans):
     assert plan.count("Exchange hashpartitioning(l_orderkey#") == 2  # alone and with line number
 
 
+def test_rules_need_no_scan_of_their_own(plans):
+    scans = [line for line in plans["rule_violations"].splitlines() if "FileScan" in line]
+    for table in ("lineitem", "orders", "customer"):
+        assert sum(f"/{table}.parquet" in line for line in scans) <= 2, table
+
+
 def test_each_text_is_digested_once(plans):
     for name in ("exact_duplicates", "folded_duplicates"):
         assert plans[name].count("sha2(") == 1
