@@ -36,20 +36,51 @@ PREFIXES = (4, 5)
 THRESHOLD = 0.7
 # Cosines this close are ties.
 ROUNDING = 1e-12
+# Runs between white space whose terms a task remembers at a time, and their longest:
+# they bound its memory and change no result.
+REMEMBERED, LONGEST = 200_000, 40
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def features(text: str | None) -> Counter:
-    """Counts of a text's words in lower case and of the beginnings of longer ones
-    (marked by a star)."""
-    words = Counter(WORD.findall((text or "").lower()))
-    starts: Counter = Counter()
-    for word, n in words.items():
-        for k in PREFIXES:
-            if len(word) > k:
-                starts[word[:k] + "*"] += n
-    words.update(starts)
-    return words
+def forms(word: str) -> list[str]:
+    """The features of a word: itself and, if it is longer, its beginnings (marked by a star)."""
+    return [word, *[word[:k] + "*" for k in PREFIXES if len(word) > k]]
+
+
+def features(text: str | None) -> set[str]:
+    """Those of all words of a text, in lower case."""
+    return {f for word in set(WORD.findall((text or "").lower())) for f in forms(word)}
+
+
+class Lookup:
+    """Counts the terms of texts. White space is in no word, so each run between is
+    looked into once, however often it comes back."""
+
+    def __init__(self, terms: dict[str, int]):
+        self.terms = terms
+        # All features of a word begin as it does.
+        self.head = min(PREFIXES)
+        self.heads = {t.rstrip("*")[: self.head] for t in terms}
+        self.known: dict[str, list[int]] = {}
+
+    def _terms_of(self, run: str) -> list[int]:
+        words = [run] if run.isalpha() else WORD.findall(run)
+        found = [f for w in words if w[: self.head] in self.heads for f in forms(w)]
+        return [self.terms[f] for f in found if f in self.terms]
+
+    def counts(self, text: str | None) -> dict[int, int]:
+        found: dict[int, int] = {}
+        for run, n in Counter((text or "").lower().split()).items():
+            own = self.known.get(run)
+            if own is None:
+                own = self._terms_of(run)
+                if len(run) <= LONGEST:
+                    if len(self.known) >= REMEMBERED:
+                        self.known.clear()
+                    self.known[run] = own
+            for term in own:
+                found[term] = found.get(term, 0) + n
+        return found
 
 
 def training_rows(labels: DataFrame) -> DataFrame:
@@ -67,7 +98,7 @@ class Model:
     """Examples with their block-max index, and the calibration of votes."""
 
     def __init__(self, terms: dict[str, int], idf: np.ndarray, vectors: list[dict], toxic, weight):
-        self.terms, self.idf = terms, idf
+        self.terms, self.idf, self.lookup = terms, idf, Lookup(terms)
         filled = [k for k, v in enumerate(vectors) if v]
         # Examples with the same strongest term lie together, so blocks are alike.
         filled.sort(key=lambda k: (max(vectors[k], key=vectors[k].get), -max(vectors[k].values()), k))
@@ -99,11 +130,10 @@ class Model:
             self.curve = _logistic(x, self.toxic, np.array([weight[k] for k in filled]), share)
 
     def vector(self, text: str | None) -> dict[int, float]:
-        found = {}
-        for feature, n in features(text).items():
-            term = self.terms.get(feature)
-            if term is not None:
-                found[term] = (1 + math.log(n)) * self.idf[term]
+        found = {
+            term: (1 + math.log(n)) * self.idf[term]
+            for term, n in self.lookup.counts(text).items()
+        }
         norm = math.sqrt(sum(w * w for w in found.values()))
         return {t: w / norm for t, w in found.items()}
 
@@ -190,7 +220,8 @@ def _vocabulary(sample: DataFrame, of_label: Counter, terms: int) -> list[str]:
     labelled documents (``of_label`` of each label)."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        # Few texts at a time, as each has many features.
+        for batch in pieces(batches, 20):
             rows = [
                 (f, t)
                 for text, t in zip(
@@ -239,13 +270,12 @@ def _document_frequencies(documents: DataFrame, terms: dict[str, int]) -> tuple[
     """In how many of all documents each term occurs, and how many there are."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(len(terms) + 1, dtype=np.int64)
+        lookup, found = Lookup(terms), np.zeros(len(terms) + 1, dtype=np.int64)
         for batch in pieces(batches):
             for text in batch.column(0).to_pylist():
                 found[-1] += 1
-                for feature in features(text):
-                    if feature in terms:
-                        found[terms[feature]] += 1
+                for term in lookup.counts(text):
+                    found[term] += 1
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(found))), pa.array(found)], ["term", "n"]
         )
@@ -272,11 +302,9 @@ def fit(
     vocabulary = {f: k for k, f in enumerate(_vocabulary(sample, of_label, terms))}
 
     def vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = Lookup(vocabulary)
         for batch in pieces(batches):
-            counts = [
-                {vocabulary[f]: n for f, n in features(t).items() if f in vocabulary}
-                for t in batch.column(2).to_pylist()
-            ]
+            counts = [lookup.counts(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
