@@ -32,7 +32,7 @@ from tallyloom.sources.scratch import written
 EXAMPLES, TERMS, MIN_EXAMPLES, MIN_G, COMMON = 4_000, 2_000, 5, 25.0, 0.1
 NEIGHBOURS, BLOCK = 16, 64
 # Lengths of the beginnings of longer words that are features too.
-PREFIXES = (4, 5)
+PREFIXES = (2, 3, 4, 5, 6, 7, 8)
 THRESHOLD = 0.7
 # Cosines this close are ties.
 ROUNDING = 1e-12
