@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import collections
 import random
 
 import numpy as np
@@ -11,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bestfit, curve_packing, decontamination, ngram_join, token_spans, words
+from tallyloom.llm import bestfit, curve_packing, decontamination, ngram_join, token_spans, toxicity, words
 from tallyloom.llm.components import connected_components
 from tallyloom.llm.tokens import encoder, vocabulary_paths
 from tallyloom.llm.vector_dedup import close_pairs
@@ -214,3 +215,24 @@ def test_every_shared_window_has_a_common_fingerprint(spark):
     df = spark.createDataFrame(rows, "a array<long>, b array<long>")
     prints = [decontamination.fingerprints(F.col(c), 10, 6) for c in "ab"]
     assert df.select(F.arrays_overlap(*prints).alias("x")).where("NOT x").count() == 0
+
+
+def test_terms_are_counted_alike_run_by_run(monkeypatch):
+    texts = ["one two, two-three THREE_four 5six İstanbul a\x1cb\x85c", "", None, "one " * 3 + "x" * 99, "ab"]
+    terms = {}
+    for text in texts[:4:3]:
+        for k, feature in enumerate(sorted(toxicity.features(text))):
+            if k % 2:
+                terms.setdefault(feature, len(terms))
+    terms.setdefault("a", len(terms))
+    monkeypatch.setattr(toxicity, "REMEMBERED", 2)
+    lookup = toxicity.Lookup(terms)
+    for text in texts * 2:
+        expected = collections.Counter(
+            terms[f]
+            for word in toxicity.WORD.findall((text or "").lower())
+            for f in toxicity.forms(word)
+            if f in terms
+        )
+        assert lookup.counts(text) == expected
+    assert lookup.counts("a") and len(lookup.known) <= 2
