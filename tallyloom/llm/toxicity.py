@@ -27,10 +27,11 @@ from tallyloom.llm.batches import pieces
 from tallyloom.sources.scratch import written
 
 # Bounds of the fit: examples of each label, terms, and what a term must show:
-# the examples that hold it, the G statistic of its association with the label,
-# and the share of documents above which a word is too common to tell anything.
-EXAMPLES, TERMS, MIN_EXAMPLES, MIN_G, COMMON = 4_000, 2_000, 5, 25.0, 0.1
+# the examples that hold it and the G statistic of its association with the label.
+EXAMPLES, TERMS, MIN_EXAMPLES, MIN_G = 4_000, 2_000, 5, 25.0
 NEIGHBOURS, BLOCK = 16, 64
+# After so many blocks, those left are scored in one pass over the text's terms.
+SINGLY = 4
 # Lengths of the beginnings of longer words that are features too.
 PREFIXES = (2, 3, 4, 5, 6, 7, 8)
 THRESHOLD = 0.7
@@ -108,6 +109,7 @@ class Model:
         # Each block's entries (place in the block, term, weight) and, for each term,
         # the largest weight in every block.
         self.entries, self.largest = [], np.zeros((len(terms), self.blocks))
+        every = []
         for block in range(self.blocks):
             own = filled[block * BLOCK : (block + 1) * BLOCK]
             rows = [(p, t, w) for p, k in enumerate(own) for t, w in vectors[k].items()]
@@ -116,6 +118,12 @@ class Model:
             )
             self.entries.append((places, ids, weights))
             np.maximum.at(self.largest[:, block], ids, weights)
+            every.append((places + block * BLOCK, ids, weights))
+        # The same entries by term and place, and where each term's begin.
+        places, ids, weights = (np.concatenate(c) for c in zip(*every, strict=True))
+        by_term = np.lexsort((places, ids))
+        self.places, self.weights = places[by_term], weights[by_term]
+        self.begins = np.searchsorted(ids[by_term], np.arange(len(terms) + 1))
         # Labels of the examples without any term, and the calibration of the others.
         toxic, weight = np.array(toxic, dtype=float), np.array(weight, dtype=float)
         empty = np.array([not v for v in vectors], dtype=bool)
@@ -144,7 +152,7 @@ class Model:
         weights[held] = np.fromiter(vector.values(), dtype=float)
         bounds = weights[held] @ self.largest[held]
         places, scores = np.empty(0, dtype=int), np.empty(0)
-        for block in np.argsort(-bounds, kind="stable"):
+        for tried, block in enumerate(np.argsort(-bounds, kind="stable")):
             bound, first = bounds[block], block * BLOCK
             if bound <= 0:
                 break
@@ -154,6 +162,8 @@ class Model:
                 # As near as the last one at best, and behind it in order.
                 if bound <= scores[-1] + ROUNDING and first > places[-1]:
                     continue
+            if tried >= SINGLY:
+                return self._nearest_of_all(weights, np.sort(held), without)
             at, ids, own_weights = self.entries[block]
             own = np.bincount(at, weights=own_weights * weights[ids], minlength=BLOCK)
             if without is not None and first <= without < first + BLOCK:
@@ -165,6 +175,20 @@ class Model:
             places, scores = places[best], scores[best]
         return places, scores
 
+    def _nearest_of_all(self, weights: np.ndarray, held: np.ndarray, without: int | None):
+        """The same from every example that shares a term of ``held``."""
+        spans = [(t, self.begins[t], self.begins[t + 1]) for t in held]
+        at = np.concatenate([self.places[b:e] for _, b, e in spans])
+        own_weights = np.concatenate([self.weights[b:e] * weights[t] for t, b, e in spans])
+        own = np.bincount(at, weights=own_weights, minlength=len(self.order))
+        if without is not None:
+            own[without] = 0
+        some = np.flatnonzero(own > 0)
+        if len(some) > NEIGHBOURS:
+            some = some[own[some] >= np.partition(own[some], -NEIGHBOURS)[-NEIGHBOURS]]
+        best = some[np.lexsort((some, -own[some]))[:NEIGHBOURS]]
+        return best, own[best]
+
     def _votes(self, places: np.ndarray, scores: np.ndarray) -> tuple[float, float, float]:
         total = scores.sum()
         vote = (scores * self.toxic[places]).sum() / total if total else 0.5
@@ -214,10 +238,9 @@ def _sample(documents: DataFrame, labels: DataFrame, examples: int) -> DataFrame
     )
 
 
-def _vocabulary(sample: DataFrame, of_label: Counter, terms: int) -> list[str]:
+def _vocabulary(sample: DataFrame, terms: int) -> list[str]:
     """The features that tell the labels apart best, by the G statistic of the
-    numbers of examples that hold them, without words that are common in all
-    labelled documents (``of_label`` of each label)."""
+    numbers of examples that hold them, however common they are: idf weighs them."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Few texts at a time, as each has many features.
@@ -255,9 +278,8 @@ def _vocabulary(sample: DataFrame, of_label: Counter, terms: int) -> list[str]:
         + part(t - b, (n - a) * t / n)
         + part(n - t - a + b, (n - a) * (n - t) / n)
     )
-    share = (b * (of_label[1] / t) + (a - b) * (of_label[0] / (n - t))) / of_label.total()
     best = (
-        counted.where((a >= MIN_EXAMPLES) & (share <= COMMON))
+        counted.where(a >= MIN_EXAMPLES)
         .select("feature", g.alias("g"))
         .where(F.col("g") >= MIN_G)
         .orderBy(F.desc("g"), "feature")
@@ -299,7 +321,7 @@ def fit(
     """
     sample = _sample(documents, labels, examples)
     of_label = Counter({r.toxic: r.n for r in _label_counts(labels)})
-    vocabulary = {f: k for k, f in enumerate(_vocabulary(sample, of_label, terms))}
+    vocabulary = {f: k for k, f in enumerate(_vocabulary(sample, terms))}
 
     def vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = Lookup(vocabulary)

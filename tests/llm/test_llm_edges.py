@@ -180,6 +180,33 @@ def test_planted_passage_is_cut_from_the_later_document(spark):
         assert out == {1: passage + "\n\nx", 2: "y\n\n"}
 
 
+def labelled(spark, n, toxic, marker):
+    """Documents of words of their own, of which those of a ``toxic`` id hold the marker."""
+    rows = [(k, f"q{k}a z{k}b " + (marker if toxic(k) else "gentle")) for k in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return docs, spark.createDataFrame([(k, 1, int(toxic(k))) for k in range(n)], LABELS)
+
+
+def test_a_common_marker_of_toxic_texts_is_a_term(spark):
+    docs, labels = labelled(spark, 240, lambda k: k % 3 == 0, "trash")
+    model, _ = toxicity.fit(docs, labels)
+    assert "trash" in model.terms
+    assert model.score("what trash")[0] >= toxicity.THRESHOLD > model.score("gentle talk")[0]
+
+
+def test_neighbours_are_the_same_block_by_block_and_at_once(spark, sf01, texts, monkeypatch):
+    docs = spark.read.parquet(f"{sf01}/documents.parquet")
+    monkeypatch.setattr(toxicity, "BLOCK", 4)
+    model, _ = toxicity.fit(docs, spark.read.parquet(f"{sf01}/labels.parquet"))
+    found = []
+    for singly in (0, 10**6):
+        monkeypatch.setattr(toxicity, "SINGLY", singly)
+        vectors = [v for t in texts.values() if (v := model.vector(t))]
+        found.append([model.nearest(v, without=k % 9) for k, v in enumerate(vectors)])
+    for (places, scores), (others, same) in zip(*found, strict=True):
+        assert places.tolist() == others.tolist() and scores.tolist() == same.tolist()
+
+
 def test_pipeline_equals_its_stages_by_hand(spark, sf01, texts, ids_of):
     docs = spark.read.parquet(f"{sf01}/documents.parquet")
     model, _ = toxicity.fit(docs, spark.read.parquet(f"{sf01}/labels.parquet"))
