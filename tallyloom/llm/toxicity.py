@@ -26,9 +26,8 @@ from pyspark.sql import functions as F
 from tallyloom.llm.batches import pieces
 from tallyloom.sources.scratch import written
 
-# Bounds of the fit: examples of each label, terms, and what a term must show:
-# the examples that hold it and the G statistic of its association with the label.
-EXAMPLES, TERMS, MIN_EXAMPLES, MIN_G = 4_000, 2_000, 5, 25.0
+# Bounds of the fit: examples of each label, terms, and the examples a term must be in.
+EXAMPLES, TERMS, MIN_EXAMPLES = 4_000, 2_000, 3
 NEIGHBOURS, BLOCK = 16, 64
 # After so many blocks, those left are scored in one pass over the text's terms.
 SINGLY = 4
@@ -281,7 +280,6 @@ def _vocabulary(sample: DataFrame, terms: int) -> list[str]:
     best = (
         counted.where(a >= MIN_EXAMPLES)
         .select("feature", g.alias("g"))
-        .where(F.col("g") >= MIN_G)
         .orderBy(F.desc("g"), "feature")
         .limit(terms)
     )

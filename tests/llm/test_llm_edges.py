@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import pytest
 
 import corpus_pipeline
@@ -194,6 +196,15 @@ def test_a_common_marker_of_toxic_texts_is_a_term(spark):
     assert model.score("what trash")[0] >= toxicity.THRESHOLD > model.score("gentle talk")[0]
 
 
+def test_a_marker_of_three_examples_is_a_term_at_any_size(spark):
+    learned = [k for k in range(0, 400, 2) if zlib.crc32(str(k).encode()) % 3 != 1]
+    docs, labels = labelled(spark, 400, lambda k: k in learned[:3], "trash")
+    for n in (30, 400):
+        model, _ = toxicity.fit(docs.where(f"doc_id < {n}"), labels.where(f"doc_id < {n}"))
+        assert "trash" in model.terms
+    assert model.score("what trash")[0] > model.score("gentle talk")[0]
+
+
 def test_neighbours_are_the_same_block_by_block_and_at_once(spark, sf01, texts, monkeypatch):
     docs = spark.read.parquet(f"{sf01}/documents.parquet")
     monkeypatch.setattr(toxicity, "BLOCK", 4)
