@@ -18,7 +18,9 @@ def keep_lowest(
 ) -> DataFrame:
     """One row per ``key``: the one with the lowest ``row_id``, its ``carry``
     columns and the number of rows that shared the key. A row whose key is null is
-    a copy of no other. ``row_id`` must be free of repeats.
+    a copy of no other. ``row_id`` must be free of repeats, but may be null: of rows
+    with a key and no id, one is kept if no row of that key has an id, the lowest by
+    a 120-bit hash of its ``carry`` columns.
 
     ``missing`` tells which rows have no key, for keys that are costly to compute:
     with it, a key is computed once per row. Digests and ids alone are aggregated,
@@ -26,19 +28,32 @@ def keep_lowest(
     fetched by id, once.
     """
     missing = key.isNull() if missing is None else missing
+    nameless = ~missing & F.col(row_id).isNull()
+    mark = F.when(nameless, _mark(carry))
     kept = (
         df.where(~missing)
         .groupBy(key.alias("_key"))
-        .agg(F.min(row_id).alias("_kept"), F.count(F.lit(1)).alias("_n"))
-        .select("_kept", "_n")
+        .agg(F.min(row_id).alias("_kept"), F.min(mark).alias("_least"), F.count(F.lit(1)).alias("_n"))
+        .select("_kept", F.when(F.col("_kept").isNull(), F.col("_least")).alias("_least"), "_n")
     )
-    rows = df.select(row_id, *carry, missing.alias("_missing"))
-    found = rows.join(kept, rows[row_id] == kept["_kept"], "left")
-    return found.where("_missing OR _kept IS NOT NULL").select(
+    rows = df.select(row_id, *carry, missing.alias("_missing"), mark.alias("_mark"))
+    # Rows without id are found by the hash of their columns, alike ones as one.
+    alike = rows.where("_mark IS NOT NULL").distinct()
+    rows = rows.where("_mark IS NULL").unionByName(alike)
+    same = rows[row_id].eqNullSafe(kept["_kept"]) & rows["_mark"].eqNullSafe(kept["_least"])
+    found = rows.join(kept, same, "left")
+    return found.where("_missing OR _n IS NOT NULL").select(
         row_id, *carry, F.coalesce("_n", F.lit(1)).alias(copies)
     )
 
 
+def _mark(columns: list[str]) -> Column:
+    """A hash of the values of ``columns`` as one number, which hash aggregation can hold."""
+    own = [*columns, *[F.col(c).isNull() for c in columns]]
+    high, low = F.xxhash64(*own), F.pmod(F.xxhash64(F.lit(1), *own), F.lit(10**18))
+    return high.cast("decimal(19,0)") * F.lit(10**18).cast("decimal(19,0)") + low
+
+
 def one_per_key(df: DataFrame, key: str) -> DataFrame:
     """``df`` with one row of each ``key`` that occurs several times: the smallest by
     its other columns. Rows without a key stay. Only repeated keys are gathered."""

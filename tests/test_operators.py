@@ -95,6 +95,17 @@ def test_null_texts_are_no_copies(spark):
     assert "SortAggregate" not in plan
 
 
+def test_texts_of_rows_without_id_are_kept_once(spark):
+    data = [(None, "x", "b"), (None, "x", "a"), (None, "y", "c"), (1, "y", "d"), (None, None, "e")]
+    df = spark.createDataFrame(data, "id int, t string, tag string")
+    for key in (text_keys.exact_key("t"), text_keys.folded_key("t")):
+        kept = duplicates.keep_lowest(df, key, "id", ["t", "tag"], missing=F.col("t").isNull())
+        found = sorted(((r.id, r.t, r.tag, r.n_copies) for r in kept.collect()), key=str)
+        assert found in (
+            [(1, "y", "d", 2), (None, "x", tag, 2), (None, None, "e", 1)] for tag in "ab"
+        )
+
+
 def test_one_row_per_repeated_key(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (None, "d"), (None, "e")], "k int, v string")
     assert rows(duplicates.one_per_key(df, "k")) == [
