@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,10 @@ from tallyloom.sources.scratch import written
 MIN_WORDS = 5
 SEPARATORS = {"sentence": "\n", "line": "\n", "paragraph": "\n\n"}
 SENTENCE_END = re.compile(r"[.!?]+(?=[ \t])")
+# Sentences of more words are divided after words whose hash says so (one in eight),
+# into parts of so many words or more.
+LONG_SENTENCE, PART_WORDS, PART_EVERY = 16, 8, 8
+WORD = re.compile(r"\S+")
 UNIT_SCHEMA = (
     "doc_id long, text_key long, start int, length int, h1 long, h2 int, first_in_doc boolean"
 )
@@ -39,7 +44,8 @@ def unit_spans(text: str, unit: str, min_words: int) -> Iterator[tuple[int, int,
     A unit that is a whole line or paragraph ends after its separator. A sentence
     ends before the next one; one of too few words is joined to the next in its
     line, so that after one long sentence two copies of a passage are divided
-    alike whatever surrounds them.
+    alike whatever surrounds them. A long sentence is divided after words chosen by
+    their hash, so that an edit in one copy costs the parts around it.
     """
     separator = SEPARATORS[unit]
     at = 0
@@ -50,12 +56,30 @@ def unit_spans(text: str, unit: str, min_words: int) -> Iterator[tuple[int, int,
         for mark in marks + [len(line)]:
             words = line[begin:mark].lower().split()
             if len(words) >= min_words:
-                whole = begin == 0 and mark == len(line)
-                yield at + begin, end if whole else at + mark, words
+                if unit == "sentence" and len(words) > max(LONG_SENTENCE, min_words):
+                    for a, b, part in _parts(line, begin, mark, max(PART_WORDS, min_words)):
+                        whole = a == 0 and b == len(line)
+                        yield at + a, end if whole else at + b, part
+                else:
+                    whole = begin == 0 and mark == len(line)
+                    yield at + begin, end if whole else at + mark, words
                 begin = mark
         at = end
 
 
+def _parts(line: str, begin: int, end: int, least: int) -> Iterator[tuple[int, int, list[str]]]:
+    """(start, end, words in lower case) of the parts of a long sentence, each of
+    ``least`` words or more."""
+    found = list(WORD.finditer(line, begin, end))
+    # As lower() may depend on what follows, each part is lowered on its own.
+    first, start = 0, begin
+    for k in range(1, len(found) - least + 1):
+        if k - first >= least and zlib.crc32(found[k - 1].group().lower().encode()) % PART_EVERY == 0:
+            yield start, found[k - 1].end(), line[start : found[k - 1].end()].lower().split()
+            first, start = k, found[k - 1].end()
+    yield start, end, line[start:end].lower().split()
+
+
 def units(documents: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
     """Every unit of ``min_words`` words or more: where it starts and how long it
     is in characters, with a 96-bit digest of its normalised text. Null and empty

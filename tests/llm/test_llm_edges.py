@@ -182,6 +182,15 @@ def test_planted_passage_is_cut_from_the_later_document(spark):
         assert out == {1: passage + "\n\nx", 2: "y\n\n"}
 
 
+def test_a_run_shared_inside_long_sentences_is_cut(spark):
+    run = " ".join(f"word{k} thing{k * 7}" for k in range(40))
+    rows = [(1, f"Here begins the first {run} and there it ends."), (2, f"Other start, {run} other end.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in line_dedup.without_repeats(df).collect()}
+    assert out[1] == rows[0][1]
+    assert len(out[2].split()) < 50 and out[2].startswith("Other start,")
+
+
 def labelled(spark, n, toxic, marker):
     """Documents of words of their own, of which those of a ``toxic`` id hold the marker."""
     rows = [(k, f"q{k}a z{k}b " + (marker if toxic(k) else "gentle")) for k in range(n)]
