@@ -12,6 +12,7 @@ from tallyloom.llm import (
     chat,
     curve_packing,
     decontamination,
+    filter_audit,
     line_dedup,
     ngram_join,
     token_spans,
@@ -274,6 +275,61 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+
+def op13_filter_audit(spark: SparkSession, root: str) -> DataFrame:
+    return filter_audit.interactions(
+        read_table(spark, root, "documents"), read_table(spark, root, "labels")
+    )
+
+
+OP13_SQL = r"""
+WITH letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+    SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), texts AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), docs AS (
+    SELECT part, doc_id,
+           CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+           || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+           || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t) THEN 'C'
+              ELSE '' END
+           || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+           || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+    FROM texts
+), good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
+bad AS (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1),
+cells AS (
+    SELECT part, fails, count(*) AS n,
+           count(*) FILTER (doc_id IN (SELECT doc_id FROM good WHERE doc_id IS NOT NULL)) AS good,
+           count(*) FILTER (doc_id IN (SELECT doc_id FROM bad WHERE doc_id IS NOT NULL)) AS toxic
+    FROM docs GROUP BY part, fails
+), folded AS (
+    SELECT part, filter_order, step, substr(filter_order, step, 1) AS f, n, good, toxic, fails,
+           contains(fails, substr(filter_order, step, 1)) AS failing,
+           translate(fails, substr(filter_order, 1, step - 1), '') != fails AS gone
+    FROM cells, orders, (SELECT unnest(range(1, 6)) AS step)
+), summed AS (
+    SELECT part, filter_order, CAST(step AS INTEGER) AS step, f,
+           coalesce(sum(n) FILTER (NOT gone AND NOT failing), 0) AS kept,
+           coalesce(sum(n) FILTER (NOT gone AND failing), 0) AS removed,
+           coalesce(sum(n) FILTER (gone AND failing), 0) AS redundant,
+           coalesce(sum(n) FILTER (fails = f), 0) AS unique_fails,
+           coalesce(sum(good) FILTER (NOT gone AND failing), 0) AS good_lost,
+           coalesce(sum(toxic) FILTER (NOT gone AND failing), 0) AS toxic_lost
+    FROM folded GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM summed
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_revisits": op1_warc_revisits,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -285,6 +341,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_attribution": op8_token_attribution,
     "op9_vector_dedup": op9_vector_dedup,
     "op10_decontamination": op10_decontamination,
+    "op13_filter_audit": op13_filter_audit,
 }
 SQL: dict[str, str] = {
     "op1_warc_revisits": OP1_SQL,
@@ -292,4 +349,5 @@ SQL: dict[str, str] = {
     "op5_chat_format": OP5_SQL,
     "op9_vector_dedup": OP9_SQL,
     "op10_decontamination": OP10_SQL,
+    "op13_filter_audit": OP13_SQL,
 }
