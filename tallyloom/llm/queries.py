@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import (
@@ -15,11 +15,13 @@ from tallyloom.llm import (
     filter_audit,
     line_dedup,
     ngram_join,
+    periodic_runs,
     token_spans,
     toxicity,
     vector_dedup,
     warc,
 )
+from tallyloom.llm.text_columns import let
 from tallyloom.sources.scratch import scratch_path
 from tallyloom.sources.tables import read_table
 
@@ -276,6 +278,111 @@ FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def _with_planted_period(documents: DataFrame) -> DataFrame:
+    """doc_id and text; each tenth document, by a hash of its id, repeats some of its
+    words to the end: from a word on, with a period, both drawn from that hash."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    text = F.coalesce("text", F.lit(""))
+
+    def repeated(words: Column) -> Column:
+        n, g = F.size(words).cast("long"), F.floor(h / 10).cast("long")
+
+        def place(v: Column) -> Column:
+            def of(word: Column, i: Column) -> Column:
+                back = v["a"] + (i - v["a"]) % v["p"]
+                return F.when(i < v["a"], word).otherwise(F.get(words, back.cast("int")))
+
+            return F.array_join(F.transform(words, of), " ")
+
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (g % 8 + 3)).cast("long")
+        return F.when(n > 0, let(F.struct(a.alias("a"), p.alias("p")), place)).otherwise(text)
+
+    words = F.filter(F.split(text, filter_audit.BLANKS), lambda w: w != "")
+    planted = F.when(h % 10 == 0, let(words, repeated)).otherwise(text)
+    return documents.select("doc_id", planted.alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, root: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(_with_planted_period(read_table(spark, root, "documents")))
+    best = F.array_max(
+        F.transform(
+            "runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r["start"], r["period"])
+        )
+    )
+    lines = F.transform(
+        "runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    )
+    lines = F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+# CRC-32 of the decimal id: bit by bit, each byte entering with the first of its eight.
+_CRC32 = (
+    "xor(list_reduce([4294967295] || list_transform(range(8 * length(CAST(doc_id AS VARCHAR))), "
+    "lambda k: CASE WHEN k % 8 = 0 THEN ascii(CAST(doc_id AS VARCHAR)[k // 8 + 1]) ELSE 0 END), "
+    "lambda c, x: xor(xor(c, x) >> 1, CASE WHEN xor(c, x) & 1 = 1 THEN 3988292384 ELSE 0 END)), "
+    "4294967295)"
+)
+
+# Every run has six words in a row, at least, that equal those a period later.
+OP11_SQL = rf"""
+WITH texts AS (
+    SELECT doc_id, {_CRC32} AS h,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), drawn AS (
+    SELECT *, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM texts
+), planted AS (
+    SELECT doc_id, CASE WHEN a IS NULL THEN w ELSE
+        list_transform(range(len(w)), lambda i: w[1 + CASE WHEN i < a THEN i
+            ELSE a + (i - a) % (1 + (len(w) - a) // (3 + (h // 10) % 8)) END]) END AS w
+    FROM drawn
+), grams AS (
+    SELECT doc_id, i, w[i + 1:i + 6] AS g
+    FROM (SELECT doc_id, w, unnest(range(len(w) - 5)) AS i FROM planted WHERE len(w) >= 12)
+), pairs AS (
+    SELECT x.doc_id, y.i - x.i AS q, x.i
+    FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.g = y.g AND x.i < y.i
+), stretches AS (
+    SELECT doc_id, q, min(i) AS start, max(i) - min(i) + 6 + q AS length
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs)
+    GROUP BY doc_id, q, island
+), runs AS (
+    SELECT doc_id, start, length, min(q) AS period FROM stretches
+    WHERE length >= greatest(12, 2 * q) GROUP BY doc_id, start, length
+), best AS (
+    SELECT * FROM runs
+    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1
+), listed AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(
+        start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+    FROM runs GROUP BY doc_id
+), dropped AS (
+    SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+), words AS (
+    SELECT doc_id, unnest(range(len(w))) AS i, unnest(w) AS word FROM planted
+), collapsed AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t
+    FROM words ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period,
+       CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM planted LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id)
+     LEFT JOIN collapsed USING (doc_id)
+"""
+
+
 def op13_filter_audit(spark: SparkSession, root: str) -> DataFrame:
     return filter_audit.interactions(
         read_table(spark, root, "documents"), read_table(spark, root, "labels")
@@ -341,6 +448,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_attribution": op8_token_attribution,
     "op9_vector_dedup": op9_vector_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_periodic_runs": op11_periodic_runs,
     "op13_filter_audit": op13_filter_audit,
 }
 SQL: dict[str, str] = {
@@ -349,5 +457,6 @@ SQL: dict[str, str] = {
     "op5_chat_format": OP5_SQL,
     "op9_vector_dedup": OP9_SQL,
     "op10_decontamination": OP10_SQL,
+    "op11_periodic_runs": OP11_SQL,
     "op13_filter_audit": OP13_SQL,
 }
