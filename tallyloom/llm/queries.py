@@ -14,6 +14,7 @@ from tallyloom.llm import (
     decontamination,
     filter_audit,
     line_dedup,
+    multi_index,
     ngram_join,
     periodic_runs,
     token_spans,
@@ -383,6 +384,12 @@ FROM planted LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
 
+def op12_multi_index(spark: SparkSession, root: str) -> DataFrame:
+    return multi_index.nearest(
+        read_table(spark, root, "embeddings"), F.col("vec_id") % 100 == 0
+    )
+
+
 def op13_filter_audit(spark: SparkSession, root: str) -> DataFrame:
     return filter_audit.interactions(
         read_table(spark, root, "documents"), read_table(spark, root, "labels")
@@ -449,6 +456,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_vector_dedup": op9_vector_dedup,
     "op10_decontamination": op10_decontamination,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_multi_index": op12_multi_index,
     "op13_filter_audit": op13_filter_audit,
 }
 SQL: dict[str, str] = {
