@@ -25,7 +25,7 @@ def duck(sf01):
 def test_all_are_registered():
     registered = contract.queries()
     numbers = [n for n in registered if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in numbers) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in numbers) == list(range(1, 14))
     assert "pipeline" in registered
     assert set(queries.SQL) <= set(contract.oracle_sql())
 
