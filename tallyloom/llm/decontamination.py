@@ -21,13 +21,14 @@ WINDOW, GRAM = 10, 6
 
 
 def gram_hashes(hashes: Column, n: int, *salt: Column) -> Column:
-    """A hash for every run of ``n`` entries of an array of hashes, in order."""
+    """A hash for every run of ``n`` entries of an array of hashes, in order. Other
+    ``salt`` gives hashes that collide for other runs: it is hashed first."""
     return let(
         hashes,
         lambda h: F.when(F.size(h) < n, F.array().cast("array<bigint>")).otherwise(
             F.transform(
                 F.sequence(F.lit(1), F.greatest(F.size(h) - F.lit(n - 1), F.lit(1))),
-                lambda i: F.xxhash64(F.slice(h, i, n), *salt),
+                lambda i: F.xxhash64(*salt, F.slice(h, i, n)),
             )
         ),
     )
@@ -60,7 +61,8 @@ def contamination(
     documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM
 ) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items (sorted as
-    strings), contaminated.
+    strings), contaminated, and text_key (``xxhash64`` of the text), by which rows of
+    one doc_id are told apart.
 
     Words are runs of ASCII digits and letters and of all characters beyond
     ASCII, A-Z in lower case. An item of fewer than ``window`` words, but not
@@ -156,6 +158,7 @@ def contamination(
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        "text_key",
     )
 
 

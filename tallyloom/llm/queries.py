@@ -23,6 +23,7 @@ from tallyloom.llm import (
     warc,
 )
 from tallyloom.llm.text_columns import let
+from tallyloom.session import sized_for
 from tallyloom.sources.scratch import scratch_path
 from tallyloom.sources.tables import read_table
 
@@ -111,9 +112,9 @@ def op3_best_fit_packing(spark: SparkSession, root: str) -> DataFrame:
 
 
 def op4_toxicity(spark: SparkSession, root: str) -> DataFrame:
-    documents = read_table(spark, root, "documents")
-    model, ids = toxicity.fit(documents, read_table(spark, root, "labels"))
-    judged = documents.select("doc_id", toxicity.verdict(model, ids).alias("verdict"))
+    judged = toxicity.judged(
+        read_table(spark, root, "documents"), read_table(spark, root, "labels"), ["doc_id"]
+    )
     return judged.select(
         "doc_id",
         toxicity.held_out("doc_id").alias("held_out"),
@@ -444,7 +445,7 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
 FROM summed
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+_OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_revisits": op1_warc_revisits,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_best_fit_packing": op3_best_fit_packing,
@@ -459,6 +460,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_multi_index": op12_multi_index,
     "op13_filter_audit": op13_filter_audit,
 }
+
+
+def _sized(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """``query`` with shuffles that fit the size of the tables."""
+
+    def run(spark: SparkSession, root: str) -> DataFrame:
+        sized_for(spark, root)
+        return query(spark, root)
+
+    return run
+
+
+QUERIES = {name: _sized(query) for name, query in _OPERATORS.items()}
 SQL: dict[str, str] = {
     "op1_warc_revisits": OP1_SQL,
     "op2_ngram_jaccard": OP2_SQL,

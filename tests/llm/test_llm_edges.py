@@ -126,9 +126,10 @@ def test_odd_documents_pass_every_operator(spark, odd_documents):
     assert total == sum(r.length for r in pieces) - n
 
     labels = spark.createDataFrame([(2, 1, 1), (4, 1, 0), (None, 0, 1), (4, 1, None)], LABELS)
-    model, ids = toxicity.fit(odd_documents, labels)
-    scored = odd_documents.select("doc_id", toxicity.verdict(model, ids).alias("v")).collect()
-    assert len(scored) == n and all(0 <= r.v.score <= 1 for r in scored)
+    scored = toxicity.judged(odd_documents, labels)
+    assert scored.columns == [*odd_documents.columns, "_verdict"]
+    scored = scored.collect()
+    assert len(scored) == n and all(0 <= r._verdict.score <= 1 for r in scored)
 
 
 def test_empty_tables(spark, odd_documents):
@@ -217,14 +218,159 @@ def test_a_marker_of_three_examples_is_a_term_at_any_size(spark):
 def test_neighbours_are_the_same_block_by_block_and_at_once(spark, sf01, texts, monkeypatch):
     docs = spark.read.parquet(f"{sf01}/documents.parquet")
     monkeypatch.setattr(toxicity, "BLOCK", 4)
-    model, _ = toxicity.fit(docs, spark.read.parquet(f"{sf01}/labels.parquet"))
+    model, ids = toxicity.fit(docs, spark.read.parquet(f"{sf01}/labels.parquet"))
     found = []
-    for singly in (0, 10**6):
-        monkeypatch.setattr(toxicity, "SINGLY", singly)
+    for at_once in (1, 10**6):
+        monkeypatch.setattr(toxicity, "FIRST_BLOCKS", at_once)
         vectors = [v for t in texts.values() if (v := model.vector(t))]
-        found.append([model.nearest(v, without=k % 9) for k, v in enumerate(vectors)])
-    for (places, scores), (others, same) in zip(*found, strict=True):
+        found.append([model.search(v, ids[k % 9]) for k, v in enumerate(vectors)])
+    for (places, scores, passed), (others, same, whole) in zip(*found, strict=True):
         assert places.tolist() == others.tolist() and scores.tolist() == same.tolist()
+        assert passed <= whole
+    # The bounds end most searches before the last block that shares a term.
+    assert sum(p for _, _, p in found[0]) < 0.7 * sum(p for _, _, p in found[1])
+
+
+def test_toxicity_equals_plain_counting(spark, sf01, texts):
+    """Weights, neighbours, votes and scores written out once more."""
+    import math
+    from collections import Counter
+
+    import numpy as np
+
+    docs = spark.read.parquet(f"{sf01}/documents.parquet")
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf01}/labels.parquet").collect()}
+    learned = sorted(k for k in labels if zlib.crc32(str(k).encode()) % 3 != 1)
+    held = {}
+    for k, text in texts.items():
+        counts = Counter()
+        for word, n in Counter(toxicity.WORD.findall(text.lower())).items():
+            for feature in [word, *[word[:m] + "*" for m in range(2, 9) if len(word) > m]]:
+                counts[feature] += n
+        held[k] = counts
+    n, t = len(learned), sum(labels[k] for k in learned)
+    in_all, in_toxic = Counter(), Counter()
+    for k in learned:
+        in_all.update(held[k].keys())
+        if labels[k]:
+            in_toxic.update(held[k].keys())
+
+    def g(a, b):
+        cells = [(b, a * t / n), (a - b, a * (n - t) / n), (t - b, (n - a) * t / n),
+                 (n - t - a + b, (n - a) * (n - t) / n)]
+        return 2 * sum(x * math.log(x / e) for x, e in cells if x > 0)
+
+    terms = {f for f, a in in_all.items() if a >= 3 and g(a, in_toxic[f]) >= 10.83}
+    frequency = Counter(f for c in held.values() for f in c.keys() & terms)
+
+    def vector(k):
+        v = {
+            f: (1 + math.log(m)) * (math.log((1 + len(texts)) / (1 + frequency[f])) + 1)
+            for f, m in held[k].items()
+            if f in terms
+        }
+        length = math.sqrt(sum(w * w for w in v.values()))
+        return {f: w / length for f, w in v.items()}
+
+    vectors = {k: vector(k) for k in texts}
+    examples = [k for k in learned if vectors[k]]
+
+    def near(k):
+        every = [(sum(w * vectors[e].get(f, 0) for f, w in vectors[k].items()), e) for e in examples]
+        every = [(s, e) for s, e in every if s > 1e-15 and e != k]
+        return sorted(every, key=lambda x: (-round(x[0], 10), x[1]))[:16]
+
+    def inputs(found):
+        total = sum(s for s, _ in found)
+        vote = sum(s * labels[e] for s, e in found) / total if total else 0.5
+        return [1.0, 2 * vote - 1, total / 16 * (2 * vote - 1)]
+
+    x = np.array([inputs(near(e)) for e in examples])
+    curve = toxicity._logistic(x, np.array([labels[e] for e in examples], float), np.ones(len(x)), t / n)
+    # The fitted curve has no slope left.
+    p = 1 / (1 + np.exp(-x @ curve))
+    start = np.array([math.log((t / n + 1e-6) / (1 - t / n + 1e-6)), 0, 0])
+    assert np.abs(x.T @ (np.array([labels[e] for e in examples]) - p) - 0.1 * (curve - start)).max() < 1e-6
+    empty = [k for k in learned if not vectors[k]]
+    rows = {r.doc_id: r.verdict for r in toxicity.judged(docs, spark.read.parquet(f"{sf01}/labels.parquet"), ["doc_id"]).collect()}
+    for k in texts:
+        found = near(k) if vectors[k] else []
+        if found:
+            score = 1 / (1 + math.exp(-float(np.dot(curve, inputs(found)))))
+        else:
+            others = [labels[e] for e in empty if e != k]
+            score = (sum(others) + t / n) / (len(others) + 1)
+        assert math.isclose(rows[k].score, score, abs_tol=1e-6), k
+        assert rows[k].predicted == int(rows[k].score >= 0.7)
+        assert k not in rows[k].examples
+        assert np.allclose(rows[k].cosines, [s for s, _ in found[:3]], atol=1e-9)
+    assert len(terms) > 20 and sum(1 for k in texts if vectors[k]) > 100
+
+
+def test_a_document_is_not_judged_by_its_own_label(spark):
+    rows = [(k, f"plain words number {k % 5} " + ("trash" if k % 2 else "gentle")) for k in range(60)]
+    rows.append((100, "rare thing of its own trash gentle"))
+    learned = [k for k, _ in rows if zlib.crc32(str(k).encode()) % 3 != 1]
+    assert 100 in learned
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scores = []
+    for own in (0, 1):
+        marks = [(k, 1, k % 2) for k in learned if k != 100] + [(100, 1, own)]
+        out = toxicity.judged(docs, spark.createDataFrame(marks, LABELS)).collect()
+        verdict = next(r.verdict for r in out if r.doc_id == 100)
+        assert 100 not in verdict.examples
+        scores.append({e for e in verdict.examples})
+    assert scores[0] == scores[1]
+
+
+def dirty(spark, rows):
+    rows = [(k, t, "en", "s", len(t or "")) for k, t in rows]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def tables(spark, tmp_path, **frames):
+    for name, df in frames.items():
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    return str(tmp_path)
+
+
+LEAK = "the quick brown fox jumps over a lazy dog while seven green owls watch"
+CLEAN = "nothing of note is written here that any other text would hold as well"
+
+
+def test_leaks_take_no_clean_row_with_them(spark, tmp_path):
+    root = tables(spark, tmp_path, benchmark=spark.createDataFrame([(1, LEAK)], BENCHMARK))
+    rows = [(None, "x " + LEAK), (None, CLEAN), (3, LEAK + " y"), (3, CLEAN), (4, CLEAN), (5, None)]
+    out = corpus_pipeline.decontamination_stage(spark, dirty(spark, rows), root)
+    assert sorted((r.doc_id or 0, r.text or "") for r in out.collect()) == [
+        (0, CLEAN), (3, CLEAN), (4, CLEAN), (5, ""),
+    ]
+
+
+def test_copies_take_no_other_text_with_them(spark):
+    other = "a text of its own that shares its id with a copy and shall stay where it is now"
+    rows = [
+        (1, CLEAN), (5, CLEAN), (5, other), (None, CLEAN), (None, CLEAN), (None, LEAK), (None, LEAK),
+        (7, ""), (7, ""), (None, None), (8, "lone"), (9, LEAK), (9, LEAK),
+    ]
+    out = corpus_pipeline.near_duplicate_stage(spark, dirty(spark, rows), "").collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in out if r.text not in (LEAK,)) == [
+        (0, ""), (1, CLEAN), (5, other), (7, ""), (8, "lone"),
+    ]
+    assert [r.text for r in out].count(LEAK) == 1
+
+
+def test_pipeline_of_empty_tables_and_of_rows_without_id(spark, tmp_path, sf01):
+    from tallyloom.sources.tables import SCHEMAS
+
+    none = {n: spark.createDataFrame([], SCHEMAS[n]) for n in ("documents", "labels", "benchmark")}
+    assert corpus_pipeline.run(spark, tables(spark, tmp_path / "none", **none)).count() == 0
+    words = [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(6)]
+    rows = [(None, t) for t in words] + [(None, words[0]), (2, words[1]), (2, words[2] + " more")]
+    frames = none | {"documents": dirty(spark, rows)}
+    out = corpus_pipeline.run(spark, tables(spark, tmp_path / "nameless", **frames)).collect()
+    # Six texts, each once: that of id 2 in place of its copy without id, or either.
+    assert sum(r.start == 0 for r in out) == 6
 
 
 def test_pipeline_equals_its_stages_by_hand(spark, sf01, texts, ids_of):
