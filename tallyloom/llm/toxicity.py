@@ -28,9 +28,10 @@ from tallyloom.llm.text_columns import free_name
 from tallyloom.sources.scratch import written
 
 # Bound of the fit: examples of each label. Every feature of theirs is a term that is in
-# MIN_EXAMPLES of them and more frequent among one label than chance explains: a G of
-# BAR or more, which one feature in a thousand reaches by chance.
-EXAMPLES, MIN_EXAMPLES, BAR = 4_000, 3, 10.83
+# MIN_EXAMPLES of them and tells the labels apart: its share among one is RATIO times
+# that among the other or more, and chance does not explain that, by a G of BAR or more,
+# which one feature in a thousand reaches by chance.
+EXAMPLES, MIN_EXAMPLES, RATIO, BAR = 4_000, 3, 2, 10.83
 NEIGHBOURS, BLOCK = 16, 32
 # Blocks looked into before the bounds are compared again; twice as many each time.
 FIRST_BLOCKS = 4
@@ -253,8 +254,8 @@ def _sample(documents: DataFrame, labels: DataFrame, examples: int) -> DataFrame
 
 
 def _vocabulary(sample: DataFrame) -> list[str]:
-    """The features that tell the labels apart, by the G statistic of the numbers of
-    examples that hold them, however common they are: idf weighs them."""
+    """The features that tell the labels apart, by their shares of the examples of
+    either label and the G statistic, however common they are: idf weighs them."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Few texts at a time, as each has many features.
@@ -292,7 +293,9 @@ def _vocabulary(sample: DataFrame) -> list[str]:
         + part(t - b, (n - a) * t / n)
         + part(n - t - a + b, (n - a) * (n - t) / n)
     )
-    best = counted.where(a >= MIN_EXAMPLES).where(g >= BAR).select("feature")
+    toxic, other = b / t, (a - b) / (n - t)
+    apart = F.greatest(toxic, other) >= RATIO * F.least(toxic, other)
+    best = counted.where(a >= MIN_EXAMPLES).where(apart & (g >= BAR)).select("feature")
     return sorted(r.feature for r in best.collect())
 
 

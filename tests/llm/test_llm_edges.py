@@ -260,7 +260,14 @@ def test_toxicity_equals_plain_counting(spark, sf01, texts):
                  (n - t - a + b, (n - a) * (n - t) / n)]
         return 2 * sum(x * math.log(x / e) for x, e in cells if x > 0)
 
-    terms = {f for f, a in in_all.items() if a >= 3 and g(a, in_toxic[f]) >= 10.83}
+    def apart(a, b):
+        low, high = sorted([b / t, (a - b) / (n - t)])
+        return high >= 2 * low
+
+    terms = {
+        f for f, a in in_all.items()
+        if a >= 3 and apart(a, in_toxic[f]) and g(a, in_toxic[f]) >= 10.83
+    }
     frequency = Counter(f for c in held.values() for f in c.keys() & terms)
 
     def vector(k):
