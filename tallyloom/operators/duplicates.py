@@ -18,9 +18,10 @@ def keep_lowest(
 ) -> DataFrame:
     """One row per ``key``: the one with the lowest ``row_id``, its ``carry``
     columns and the number of rows that shared the key. A row whose key is null is
-    a copy of no other. ``row_id`` must be free of repeats, but may be null: of rows
-    with a key and no id, one is kept if no row of that key has an id, the lowest by
-    a 120-bit hash of its ``carry`` columns.
+    a copy of no other. ``row_id`` may be null: of rows with a key and no id, one is
+    kept if no row of that key has an id. Of rows of a key that share the lowest id, or
+    have none, one is kept: the smallest by a hash of its ``carry`` columns or, where
+    ids repeat, by those columns themselves.
 
     ``missing`` tells which rows have no key, for keys that are costly to compute:
     with it, a key is computed once per row. Digests and ids alone are aggregated,
@@ -28,6 +29,8 @@ def keep_lowest(
     fetched by id, once.
     """
     missing = key.isNull() if missing is None else missing
+    if _repeats(df, row_id):
+        return _lowest_rows(df, key, row_id, carry, copies, missing)
     nameless = ~missing & F.col(row_id).isNull()
     mark = F.when(nameless, _mark(carry))
     kept = (
@@ -47,6 +50,29 @@ def keep_lowest(
     )
 
 
+def _repeats(df: DataFrame, row_id: str) -> bool:
+    """Whether several rows have one id; ids alone are grouped."""
+    ids = df.where(F.col(row_id).isNotNull()).groupBy(row_id).agg(F.count(F.lit(1)).alias("_n"))
+    return not ids.where("_n > 1").isEmpty()
+
+
+def _lowest_rows(
+    df: DataFrame, key: Column, row_id: str, carry: list[str], copies: str, missing: Column
+) -> DataFrame:
+    """As :func:`keep_lowest` where an id does not name a row: whole rows are aggregated,
+    each task keeping one per key."""
+    row = F.struct(F.col(row_id).isNull().alias("_last"), row_id, *carry)
+    lowest = (
+        df.where(~missing)
+        .groupBy(key.alias("_key"))
+        .agg(F.min(row).alias("_row"), F.count(F.lit(1)).alias("_n"))
+    )
+    kept = lowest.select("_row.*", F.col("_n").alias(copies)).drop("_last")
+    return kept.unionByName(
+        df.where(missing).select(row_id, *carry, F.lit(1).cast("long").alias(copies))
+    )
+
+
 def _mark(columns: list[str]) -> Column:
     """A hash of the values of ``columns`` as one number, which hash aggregation can hold."""
     own = [*columns, *[F.col(c).isNull() for c in columns]]

@@ -297,10 +297,13 @@ def folded_duplicates(spark: SparkSession, root: str) -> DataFrame:
 
 def _duplicates_sql(key: str) -> str:
     return f"""
-WITH g AS (SELECT {key} AS k, min(doc_id) AS doc_id, count(*) AS n_copies
-           FROM documents WHERE text IS NOT NULL GROUP BY 1
-           UNION ALL SELECT NULL, doc_id, 1 FROM documents WHERE text IS NULL)
-SELECT d.doc_id, d.lang, d.source, d.n_chars, g.n_copies FROM g JOIN documents d USING (doc_id)
+SELECT doc_id, lang, source, n_chars, n_copies
+FROM (SELECT *, count(*) OVER (PARTITION BY k) AS n_copies,
+             row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS LAST, lang NULLS FIRST,
+                                source NULLS FIRST, n_chars NULLS FIRST) AS nth
+      FROM (SELECT *, {key} AS k FROM documents WHERE text IS NOT NULL))
+WHERE nth = 1
+UNION ALL SELECT doc_id, lang, source, n_chars, 1 FROM documents WHERE text IS NULL
 """
 
 

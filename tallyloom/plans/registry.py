@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.plans import analysis, generation, preparation, reports
+from tallyloom.plans import analysis, generation, preparation, reports, timelines
 from tallyloom.plans.query import Query, plain
 from tallyloom.session import sized_for
 
@@ -17,6 +17,7 @@ QUERIES: dict[str, Query] = {
     **analysis.QUERIES,
     **reports.QUERIES,
     **generation.QUERIES,
+    **timelines.QUERIES,
 }
 
 

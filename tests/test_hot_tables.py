@@ -10,7 +10,7 @@ import pytest
 
 from duck import assert_same
 from tallyloom import jobs
-from tallyloom.operators import quantiles
+from tallyloom.operators import quantiles, slices
 from tallyloom.plans.registry import QUERIES, runner
 from tallyloom.sources.tables import SCHEMAS, read_table, table_path
 
@@ -50,6 +50,7 @@ def as_if_large(spark, monkeypatch):
         spark.conf.set(k, v)
     monkeypatch.setattr(quantiles, "LIMIT", 500)
     monkeypatch.setattr(quantiles, "TOGETHER", 1)
+    monkeypatch.setattr(slices, "ROWS", 300)
     yield
     for k, v in before.items():
         spark.conf.set(k, v)

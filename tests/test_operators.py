@@ -106,6 +106,18 @@ def test_texts_of_rows_without_id_are_kept_once(spark):
         )
 
 
+def test_repeated_ids_multiply_nothing(spark):
+    data = [(1, "a", "x"), (1, "b", "y"), (2, "c", "z"), (2, "a", "w"), (3, "b", "v"), (1, "a", "u")]
+    data += [(None, "c", "n"), (None, "d", "m"), (None, "d", "l"), (1, None, "k"), (1, None, "k")]
+    df = spark.createDataFrame(data, "id int, t string, tag string")
+    for carry in (["tag"], ["t", "tag"]):
+        kept = duplicates.keep_lowest(df, text_keys.exact_key("t"), "id", carry)
+        found = sorted(((r.id, r.tag, r.n_copies) for r in kept.collect()), key=str)
+        assert found == [
+            (1, "k", 1), (1, "k", 1), (1, "u", 3), (1, "y", 2), (2, "z", 2), (None, "l", 2)
+        ]
+
+
 def test_one_row_per_repeated_key(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (None, "d"), (None, "e")], "k int, v string")
     assert rows(duplicates.one_per_key(df, "k")) == [
