@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.batches import pieces
-from tallyloom.llm.tokens import encoder, vocabulary_paths
+from tallyloom.llm.tokens import encoder, short_ids, vocabulary_paths
 
 LENGTH = 1024
 # Tokens that a task gathers before it packs them: bounds its memory.
@@ -158,7 +158,7 @@ def packed_rows(
         for batch in pieces(batches):
             ids_texts = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
             for doc_id, text in ids_texts:
-                ids = np.append(tokens_of(text or ""), last).astype("<u2")
+                ids = short_ids(np.append(tokens_of(text or ""), last))
                 whole = len(ids) - len(ids) % length
                 for at in range(0, whole, length):
                     close([(doc_id, at, ids[at : at + length])])

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.text_columns import let
 
+# Turns summed up together.
+FOLD = 512
+SPAN = "struct<start:bigint,length:bigint,byte_start:bigint,byte_length:bigint>"
 START, NEXT, END = "<|im_start|>", "<|im_next|>", "<|im_end|>"
 
 
@@ -74,12 +77,12 @@ def format_conversations(turns: DataFrame, assistant: str = "assistant") -> Data
         return F.transform(turns, one)
 
     pieces = gathered.select("conv_id", let(F.col("turns"), parts).alias("parts"))
-    # Where each text begins: the lengths before it, summed in one pass.
-    no_spans = F.array().cast(
-        "array<struct<start:bigint,length:bigint,byte_start:bigint,byte_length:bigint>>"
-    )
+    # Where each text begins: the lengths before it, summed in one pass over FOLD turns at
+    # a time and one over what those come to, so that no array grows with a conversation
+    # while it is copied.
+    none = F.array().cast(f"array<{SPAN}>")
     zero = F.lit(0).cast("long")
-    begin = F.struct(zero.alias("at"), zero.alias("byte"), no_spans.alias("spans"))
+    begin = F.struct(zero.alias("at"), zero.alias("byte"), none.alias("spans"))
 
     def step(acc: Column, p: Column) -> Column:
         body, body_bytes = F.length(p["body"]).cast("long"), F.octet_length(p["body"]).cast("long")
@@ -99,12 +102,42 @@ def format_conversations(turns: DataFrame, assistant: str = "assistant") -> Data
             .alias("spans"),
         )
 
+    def in_portions(parts: Column) -> Column:
+        last = F.floor((F.size(parts) - 1) / FOLD).cast("int")
+        return F.transform(
+            F.sequence(F.lit(0), last),
+            lambda k: F.aggregate(F.slice(parts, k * FOLD + 1, F.lit(FOLD)), begin, step),
+        )
+
+    def put_together(portions: Column) -> Column:
+        start = F.struct(
+            zero.alias("at"), zero.alias("byte"), F.array().cast(f"array<array<{SPAN}>>").alias("lists")
+        )
+
+        def moved(acc: Column, portion: Column) -> Column:
+            spans = F.transform(
+                portion["spans"],
+                lambda s: F.struct(
+                    (s["start"] + acc["at"]).alias("start"),
+                    s["length"].alias("length"),
+                    (s["byte_start"] + acc["byte"]).alias("byte_start"),
+                    s["byte_length"].alias("byte_length"),
+                ),
+            )
+            return F.struct(
+                (acc["at"] + portion["at"]).alias("at"),
+                (acc["byte"] + portion["byte"]).alias("byte"),
+                F.concat(acc["lists"], F.array(spans)).alias("lists"),
+            )
+
+        return F.aggregate(portions, start, moved, lambda acc: F.flatten(acc["lists"]))
+
     return pieces.select(
         "conv_id",
         F.array_join(
             F.transform("parts", lambda p: F.concat(p["head"], p["body"], p["tail"])), ""
         ).alias("formatted"),
-        F.aggregate("parts", begin, step, lambda acc: acc["spans"]).alias("loss_spans"),
+        put_together(let(F.col("parts"), in_portions)).alias("loss_spans"),
     )
 
 

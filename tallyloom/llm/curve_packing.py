@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.batches import pieces
-from tallyloom.llm.tokens import encoder, vocabulary_paths
+from tallyloom.llm.tokens import encoder, short_ids, vocabulary_paths
 from tallyloom.llm.words import mix, seed
 from tallyloom.sources.scratch import written
 
@@ -103,7 +103,7 @@ def tokenised(documents: DataFrame, paths: tuple[str, str], end_id: int | None)
         tokens_of = encoder(paths)
         for batch in pieces(batches):
             texts = batch.column(2).to_pylist()
-            ids = [np.append(tokens_of(t or ""), last).astype("<u2") for t in texts]
+            ids = [short_ids(np.append(tokens_of(t or ""), last)) for t in texts]
             columns = [
                 batch.column(0),
                 batch.column(1),

@@ -136,20 +136,29 @@ def repeated_spans(
 
     A digest is one row per task in the aggregation; its occurrences are joined
     to the first one as plain tables, so that a unit that a third of all rows
-    share is split over tasks. Rows that repeat an id and its text are the same
-    document. A null id comes last.
+    share is split over tasks. Documents are ranked by id, then by a hash of their
+    texts, so different texts of one id, or of none, are different documents; rows that
+    repeat an id and its text are the same one. A null id comes last.
     """
     last = F.lit((1 << 63) - 1)
     all_units = written(units(documents, unit, min_words), "units")
+    # Both in one number, which hash aggregation can hold.
+    text_part = F.col("text_key").bitwiseAND(F.lit((1 << 62) - 1))
+    rank = F.coalesce("doc_id", last).cast("decimal(19,0)") * F.lit(1 << 62).cast("decimal(19,0)")
+    rank = (rank + text_part.cast("decimal(19,0)")).cast("decimal(38,0)")
     firsts = (
         all_units.groupBy("h1", "h2")
-        .agg(F.min(F.coalesce("doc_id", last)).alias("kept_id"), F.count(F.lit(1)).alias("n"))
+        .agg(
+            F.min(F.coalesce("doc_id", last)).alias("kept_id"),
+            F.min(rank).alias("kept_rank"),
+            F.count(F.lit(1)).alias("n"),
+        )
         .where("n > 1")
-        .select("h1", "h2", "kept_id")
+        .select("h1", "h2", "kept_id", "kept_rank")
     )
     firsts = written(firsts, "first-units")
     removed = all_units.join(firsts, ["h1", "h2"]).where(
-        ~F.col("first_in_doc") | (F.coalesce("doc_id", last) != F.col("kept_id"))
+        ~F.col("first_in_doc") | (rank != F.col("kept_rank"))
     )
     span = F.struct(
         "start",

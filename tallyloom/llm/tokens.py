@@ -53,6 +53,13 @@ def encoder(paths: tuple[str, str]) -> Callable[[str], np.ndarray]:
     return encode
 
 
+def short_ids(ids: np.ndarray) -> np.ndarray:
+    """The same ids in 16 bits. Ids beyond that are refused, never cut."""
+    if len(ids) and (ids.max() > 0xFFFF or ids.min() < 0):
+        raise ValueError(f"id {int(ids.max())} does not fit 16 bits")
+    return ids.astype("<u2")
+
+
 def token_byte_lengths(paths: tuple[str, str]) -> np.ndarray:
     """Bytes of text that each id stands for."""
     with open(paths[1], "rb") as lines:

@@ -87,6 +87,57 @@ def test_conversations_are_read_back_whatever_they_hold(spark):
     assert chat.format_conversations(spark.createDataFrame([], TURNS)).count() == 0
 
 
+def test_long_conversations_cost_no_more_a_turn(spark, monkeypatch):
+    import time
+
+    def rows(n):
+        return spark.range(n).selectExpr(
+            "id % 1 AS conv_id", "id AS turn", "if(id % 3 = 0, 'user', 'assistant') AS role",
+            "concat('turn ', id, ' é') AS text",
+        )
+
+    def taken(n):
+        turns = rows(n)
+        out = chat.format_conversations(turns)
+        start = time.perf_counter()
+        read = out.select(
+            chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+            F.size("loss_spans").alias("n"),
+        ).first()
+        took = time.perf_counter() - start
+        expected = "".join(r.text for r in turns.where("role = 'assistant'").orderBy("turn").collect())
+        assert read.loss == expected and read.n == sum(k % 3 != 0 for k in range(n))
+        return took
+
+    taken(chat.FOLD + 1)
+    short, long = taken(10_000), taken(40_000)
+    assert long < 8 * max(short, 0.5)
+
+
+def test_different_texts_of_one_or_no_id_are_different_documents(spark):
+    passage = " ".join(f"shared{k}" for k in range(12)) + "."
+    rows = [(None, passage + " one more."), (None, "Here is another start altogether. " + passage),
+            (5, passage), (5, passage), (5, "A third text begins quite differently. " + passage),
+            (6, passage + " And so on.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = line_dedup.without_repeats(df).collect()
+    holding = [(r.doc_id, r.text) for r in out if passage in r.text]
+    # Held by one document of the smallest id; by two rows if that is the one there twice.
+    assert len(out) == 6 and {k for k, _ in holding} == {5} and len(set(holding)) == 1
+    none = line_dedup.without_repeats(df.where("doc_id IS NULL")).collect()
+    assert sum(passage in r.text for r in none) == 1
+
+
+def test_ids_beyond_16_bits_are_refused(spark):
+    from tallyloom.llm.tokens import short_ids
+
+    import numpy as np
+
+    assert short_ids(np.array([0, 65535])).tolist() == [0, 65535]
+    with pytest.raises(ValueError):
+        short_ids(np.array([70000]))
+
+
 def test_odd_documents_pass_every_operator(spark, odd_documents):
     n = odd_documents.count()
     found = ngram_join.jaccard_components(odd_documents).collect()
