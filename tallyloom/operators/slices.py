@@ -13,7 +13,7 @@ ROWS, STRETCHES = 1_000_000, 4_096
 SLICE = "_slice"
 
 
-def _micros(time: str) -> Column:
+def micros(time: str) -> Column:
     """A time as a number that grows with it."""
     return F.unix_micros(F.col(time).cast("timestamp"))
 
@@ -31,7 +31,7 @@ def with_slices(
     """
     rows = ROWS if rows is None else rows
     counted = df.groupBy(F.col(key).alias("_large")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(_micros(time)).alias("_low"), F.max(_micros(time)).alias("_high")
+        F.count(F.lit(1)).alias("_n"), F.min(micros(time)).alias("_low"), F.max(micros(time)).alias("_high")
     )
     width = F.greatest(F.ceil((F.col("_high") - F.col("_low") + 1) / STRETCHES), F.lit(1))
     large = counted.where(F.col("_n") > rows).select("_large", "_low", width.alias("_width"))
@@ -40,7 +40,7 @@ def with_slices(
         return df.withColumn(SLICE, F.lit(0).cast("long")), False
     placed = df.join(large, F.col(key) == F.col("_large"), "left")
     placed = placed.withColumn(
-        "_stretch", F.floor((_micros(time) - F.col("_low")) / F.col("_width"))
+        "_stretch", F.floor((micros(time) - F.col("_low")) / F.col("_width"))
     ).drop("_large", "_low", "_width")
     held = placed.where("_stretch IS NOT NULL").groupBy(
         F.col(key).alias("_of"), F.col("_stretch").alias("_at")

@@ -1,4 +1,4 @@
-"""What came before: latest earlier rows, sessions, and places in the whole table."""
+"""Rows in time: latest earlier rows, intervals, sessions, changes, places in a whole table."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.money import cents
 from tallyloom.operators.asof import as_of
+from tallyloom.operators.differences import changes
+from tallyloom.operators.intervals import covered_counts, covering
 from tallyloom.operators.ranking import with_global_order
 from tallyloom.operators.sessions import with_sessions
 from tallyloom.plans.query import Query
@@ -126,9 +128,123 @@ SELECT o_orderkey, row_number() OVER w AS place, rank() OVER (ORDER BY o_orderda
 FROM orders WINDOW w AS (ORDER BY o_orderdate DESC, o_orderkey)
 """
 
+
+def errors_after_purchase(spark: SparkSession, root: str) -> DataFrame:
+    """Every error of a user in the hours after a purchase, as many as its value."""
+    events = read_table(spark, root, "events")
+    minutes = F.floor(F.col("value") * 60).cast("int")
+    purchases = events.where("event_type = 'purchase'").select(
+        F.col("event_id").alias("purchase_id"),
+        F.col("user_id").alias("buyer"),
+        F.col("ts").alias("from_ts"),
+        (F.col("ts") + F.make_dt_interval(mins=minutes)).alias("until_ts"),
+    )
+    return covering(
+        events.where("event_type = 'error'").select("event_id", "user_id", "ts"),
+        purchases,
+        on=("user_id", "buyer"),
+        time="ts",
+        span=("from_ts", "until_ts"),
+        carry=["purchase_id", "from_ts", "until_ts"],
+    )
+
+
+ERRORS_AFTER_PURCHASE_SQL = """
+WITH purchases AS (
+    SELECT event_id AS purchase_id, user_id, ts AS from_ts,
+           ts + to_minutes(CAST(floor(value * 60) AS BIGINT)) AS until_ts
+    FROM events WHERE event_type = 'purchase'
+)
+SELECT e.event_id, e.user_id, CAST(e.ts AS VARCHAR) AS ts, purchase_id,
+       CAST(from_ts AS VARCHAR) AS from_ts, CAST(until_ts AS VARCHAR) AS until_ts
+FROM events e JOIN purchases p ON p.user_id = e.user_id AND from_ts <= e.ts AND e.ts < until_ts
+WHERE e.event_type = 'error'
+"""
+
+
+def order_open_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Every order with the number of its customer's lines that are ordered by then, its
+    own among them, and not yet shipped."""
+    orders = read_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    lines = read_table(spark, root, "lineitem").select("l_orderkey", "l_shipdate")
+    ordered = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).where(
+        "l_shipdate > o_orderdate"
+    )
+    return covered_counts(
+        orders,
+        ordered,
+        on=("o_custkey", "o_custkey"),
+        time="o_orderdate",
+        span=("o_orderdate", "l_shipdate"),
+        name="n_open",
+    ).select("o_orderkey", "o_custkey", "n_open")
+
+
+ORDER_OPEN_LINES_SQL = """
+WITH spans AS (
+    SELECT o_custkey AS c, o_orderdate AS opened, l_shipdate AS shipped
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_shipdate > o_orderdate
+)
+SELECT o_orderkey, o_custkey, count(opened) AS n_open
+FROM orders LEFT JOIN spans ON c = o_custkey AND opened <= o_orderdate AND o_orderdate < shipped
+GROUP BY o_orderkey, o_custkey
+"""
+
+
+def order_mix_changes(spark: SparkSession, root: str) -> DataFrame:
+    """What customers ordered by priority in 1996 against 1997, order by order."""
+    orders = read_table(spark, root, "orders")
+
+    def year(number: int) -> DataFrame:
+        return orders.where(F.year("o_orderdate") == number).select(
+            "o_custkey", "o_orderpriority", "o_orderstatus"
+        )
+
+    found = changes(year(1996), year(1997), ["o_custkey", "o_orderpriority"])
+    return found.select(
+        "o_custkey",
+        "o_orderpriority",
+        "change",
+        "copies",
+        F.col("old.o_orderstatus").alias("old_status"),
+        F.col("new.o_orderstatus").alias("new_status"),
+    )
+
+
+ORDER_MIX_CHANGES_SQL = """
+WITH before AS (
+    SELECT o_custkey, o_orderpriority, o_orderstatus FROM orders WHERE year(o_orderdate) = 1996
+), after AS (
+    SELECT o_custkey, o_orderpriority, o_orderstatus FROM orders WHERE year(o_orderdate) = 1997
+), lost AS (
+    SELECT * FROM before EXCEPT ALL SELECT * FROM after
+), won AS (
+    SELECT * FROM after EXCEPT ALL SELECT * FROM before
+), pairs AS (
+    SELECT o_custkey, o_orderpriority, any_value(l.o_orderstatus) AS old_status,
+           any_value(w.o_orderstatus) AS new_status
+    FROM lost l JOIN won w USING (o_custkey, o_orderpriority)
+    GROUP BY o_custkey, o_orderpriority HAVING count(*) = 1
+), rest AS (
+    SELECT *, 'removed' AS change FROM lost UNION ALL SELECT *, 'added' FROM won
+)
+SELECT o_custkey, o_orderpriority, 'changed' AS change, CAST(1 AS BIGINT) AS copies,
+       old_status, new_status
+FROM pairs
+UNION ALL
+SELECT o_custkey, o_orderpriority, change, count(*),
+       CASE WHEN change = 'removed' THEN o_orderstatus END,
+       CASE WHEN change = 'added' THEN o_orderstatus END
+FROM rest ANTI JOIN pairs USING (o_custkey, o_orderpriority)
+GROUP BY o_custkey, o_orderpriority, change, o_orderstatus
+"""
+
 QUERIES: dict[str, Query] = {
     "event_last_order": Query(event_last_order, EVENT_LAST_ORDER_SQL),
     "purchase_last_view": Query(purchase_last_view, PURCHASE_LAST_VIEW_SQL),
     "user_sessions": Query(user_sessions, USER_SESSIONS_SQL),
     "order_places": Query(order_places, ORDER_PLACES_SQL),
+    "errors_after_purchase": Query(errors_after_purchase, ERRORS_AFTER_PURCHASE_SQL),
+    "order_open_lines": Query(order_open_lines, ORDER_OPEN_LINES_SQL),
+    "order_mix_changes": Query(order_mix_changes, ORDER_MIX_CHANGES_SQL),
 }
