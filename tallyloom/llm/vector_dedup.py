@@ -5,10 +5,16 @@ first. Two tiles are compared over the leading dimensions first: the partial
 product plus the product of the remaining norms bounds the cosine from above, and
 pairs whose bound is too low are left at once. The rest go on over more
 dimensions, and what still remains is computed exactly in double precision.
+
+Tiles are stretches of the leading axis. Unit vectors of a cosine c are sqrt(2 - 2c)
+apart, so no further apart on any axis: a vector goes only to the tiles it can have a
+link in.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -65,11 +71,11 @@ def principal_axes(vectors: DataFrame, d: int) -> np.ndarray:
     return axes[:, np.argsort(-energy)]
 
 
-def close_pairs(
+def close_blocks(
     x: np.ndarray, y: np.ndarray, axes: np.ndarray, threshold: float, same: bool
-) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes (i, j) of rows of x and y with a cosine of ``threshold`` or more; of
-    one tile with itself (``same``) only i < j."""
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Indexes (i, j) of rows of x and y with a cosine of ``threshold`` or more, at most
+    ``PAIRS`` at a time; of one tile with itself (``same``) only i < j."""
     d = x.shape[1]
     stops = sorted({max(1, d // s) for s in STEPS})
     ux, uy = _unit(x), _unit(y)
@@ -82,7 +88,6 @@ def close_pairs(
     # The remaining norms as one more dimension: the product is the bound itself.
     bx = np.column_stack([rx[:, :first], rest(rx, first)]).astype(np.float32)
     by = np.column_stack([ry[:, :first], rest(ry, first)]).astype(np.float32)
-    found = []
     for at in range(0, len(x), BLOCK):
         low = at if same else 0
         i, j = np.nonzero(bx[at : at + BLOCK] @ by[low:].T >= threshold - SLACK)
@@ -99,48 +104,128 @@ def close_pairs(
                 keep = partial + rest(rx[a], done) * rest(ry[b], done) >= threshold - SLACK
                 a, b, partial = a[keep], b[keep], partial[keep]
             keep = np.einsum("ij,ij->i", ux[a], uy[b]) >= threshold
-            found.append((a[keep], b[keep]))
-    if not found:
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    return tuple(np.concatenate(part) for part in zip(*found, strict=True))
+            yield a[keep], b[keep]
 
 
-def _local_roots(count: int, i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """The smallest id that each row reaches by the links (i, j)."""
-    low = ids.copy()
+def close_pairs(
+    x: np.ndarray, y: np.ndarray, axes: np.ndarray, threshold: float, same: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of ``close_blocks`` together."""
+    none = np.empty(0, dtype=np.int64)
+    blocks = [(none, none), *close_blocks(x, y, axes, threshold, same)]
+    return tuple(np.concatenate(part) for part in zip(*blocks, strict=True))
+
+
+def _merged(roots: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``roots`` (of each row the least row it reaches so far) with the links (i, j)
+    added. Links within what is one already cost a look-up each."""
+    a, b = roots[i], roots[j]
+    apart = a != b
+    a, b = a[apart], b[apart]
+    if not len(a):
+        return roots
+    low = np.arange(len(roots))
     while True:
         least = low.copy()
-        np.minimum.at(least, i, low[j])
-        np.minimum.at(least, j, low[i])
+        np.minimum.at(least, a, low[b])
+        np.minimum.at(least, b, low[a])
         if (least == low).all():
-            return low
+            return low[roots]
         low = least
 
 
+def linked_rows(
+    x: np.ndarray, tile: np.ndarray, a: int, b: int, copies: np.ndarray, axes: np.ndarray, threshold: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row how many vectors it links with across tiles ``a`` and ``b`` (with
+    ``copies``), and the least row it reaches. The pairs are counted as they are found:
+    of all of them at most ``PAIRS`` are held."""
+    left, right = np.flatnonzero(tile == a), np.flatnonzero(tile == b)
+    links, roots = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
+    for i, j in close_blocks(x[left], x[right], axes, threshold, a == b):
+        i, j = left[i], right[j]
+        np.add.at(links, i, copies[j])
+        np.add.at(links, j, copies[i])
+        roots = _merged(roots, i, j)
+    return links, roots
+
+
+def with_tiles(reps: DataFrame, axis: np.ndarray, threshold: float, rows: int) -> DataFrame:
+    """``reps`` (embedding) with tile and a column ``near``, the tiles that can hold a
+    vector linked with it, its own among them.
+
+    The places on the ``axis`` are divided at their quantiles, so a tile has about
+    ``rows`` vectors. Those at one place of the axis that fill several tiles are dealt
+    over them by their hash. Some 8 bytes a tile reach the driver.
+    """
+    names = reps.columns
+    cells = F.array(*[F.lit(float(v)) for v in axis])
+    # Scaled first, as in _unit.
+    top = F.array_max(F.transform("embedding", lambda v: F.abs(v.cast("double"))))
+    placed = reps.withColumn("_top", top)
+    scaled = F.transform("embedding", lambda v: v.cast("double") / F.col("_top"))
+    placed = placed.withColumn("_scaled", scaled)
+
+    def added(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda total, v: total + v)
+
+    along = added(F.zip_with("_scaled", cells, lambda v, w: v * w))
+    norm = F.sqrt(added(F.transform("_scaled", lambda v: v * v)))
+    placed = written(
+        placed.select(*reps.columns, (along / norm).cast("float").cast("double").alias("_place")), "places"
+    )
+    count = placed.count()
+    tiles = max(1, -(-count // rows))
+    if tiles == 1:
+        return placed.withColumn("tile", F.lit(0)).withColumn("near", F.array(F.lit(0))).drop("_place")
+    shares = [k / tiles for k in range(1, tiles)]
+    # The error of a quantile is a small part of a tile, up to 50,000 tiles.
+    accuracy = min(max(20 * tiles, 10_000), 1_000_000)
+    edges = placed.select(F.percentile_approx("_place", shares, accuracy)).first()[0]
+    spread = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
+
+    def tile_of(place: np.ndarray, side: str) -> np.ndarray:
+        return np.searchsorted(edges, place, side)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place, by = batch.column("_place").to_numpy(), batch.column("_hash").to_numpy()
+            # Of tiles that begin and end at this place, any.
+            low, high = tile_of(place, "left"), tile_of(place, "right")
+            tile = low + by % (high - low + 1)
+            first, last = tile_of(place - spread, "left"), tile_of(place + spread, "right")
+            keep = [batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays(
+                [*keep, *(pa.array(v.astype(np.int32)) for v in (tile, first, last))],
+                [*names, "tile", "_first", "_last"],
+            )
+
+    schema = ", ".join(f"{name} {kind}" for name, kind in reps.dtypes)
+    hashed = placed.withColumn("_hash", F.pmod(F.xxhash64("embedding"), F.lit(1 << 31)))
+    dealt = hashed.mapInArrow(deal, f"{schema}, tile int, _first int, _last int")
+    return dealt.select(*reps.columns, "tile", F.sequence("_first", "_last").alias("near"))
+
+
 def _compare(reps: DataFrame, d: int, threshold: float) -> DataFrame:
     """(id, links, root) per vector and pair of tiles in which it has links."""
     axes = principal_axes(reps, d)
-    tiles = max(1, -(-reps.count() // TILE))
-    own = F.pmod(F.xxhash64("id"), F.lit(tiles)).cast("int")
+    own = F.col("tile")
     meetings = F.transform(
-        F.sequence(F.lit(0), F.lit(tiles - 1)),
-        lambda t: F.struct(F.least(own, t).alias("a"), F.greatest(own, t).alias("b")),
+        "near", lambda t: F.struct(F.least(own, t).alias("a"), F.greatest(own, t).alias("b"))
+    )
+    placed = with_tiles(reps.select("id", "copies", "embedding"), axes[:, 0], threshold, TILE).select(
+        "id", "copies", "embedding", "tile", F.explode(meetings).alias("m")
     )
-    placed = reps.select("id", "copies", "embedding", own.alias("tile"), F.explode(meetings).alias("m"))
 
     def meet(table: pa.Table) -> pa.Table:
+        # By id, so that the least row is that of the smallest id.
+        table = table.sort_by("id")
         ids, copies, tile = (table.column(c).to_numpy() for c in ("id", "copies", "tile"))
         x = _matrix(table.column("embedding"), d)
         a, b = table.column("a")[0].as_py(), table.column("b")[0].as_py()
-        left, right = np.flatnonzero(tile == a), np.flatnonzero(tile == b)
-        i, j = close_pairs(x[left], x[right], axes, threshold, a == b)
-        i, j = left[i], right[j]
-        links = np.zeros(len(ids), dtype=np.int64)
-        np.add.at(links, i, copies[j])
-        np.add.at(links, j, copies[i])
-        roots = _local_roots(len(ids), i, j, ids)
+        links, roots = linked_rows(x, tile, a, b, copies, axes, threshold)
         keep = links > 0
-        return pa.table({"id": ids[keep], "links": links[keep], "root": roots[keep]})
+        return pa.table({"id": ids[keep], "links": links[keep], "root": ids[roots][keep]})
 
     return (
         placed.select("id", "copies", "embedding", "tile", "m.a", "m.b")
@@ -159,8 +244,9 @@ def cosine_components(vectors: DataFrame, threshold: float = THRESHOLD) -> DataF
     component, links with nothing, nor do vectors of different lengths. Equal
     vectors are compared once and count as often as they occur. Rows that share a
     vec_id are one vector with the links of all. A row without vec_id links with
-    nothing. Every two tiles of a bounded number of vectors meet in one task,
-    which passes on link counts and at most one edge per vector, never the pairs.
+    nothing. Every two tiles of a bounded number of vectors that can hold a link meet in
+    one task, which passes on link counts and at most one edge per vector, never the
+    pairs, and does not hold them all.
     """
     valid = vectors.where("vec_id IS NOT NULL").where(usable(F.col("embedding")))
     valid = valid.select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -216,6 +217,30 @@ def test_vectors_of_every_kind(spark):
     assert all(found[k] == (0, k) for k in (4, 5, 6, 7, 8, 9, 10, 11, 14))
 
 
+def test_vectors_in_many_tiles_equal_all_pairs(spark, monkeypatch):
+    """Clusters across tiles, equal vectors, every length from 1e-200 to 1e200."""
+    monkeypatch.setattr(vector_dedup, "TILE", 40)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(30, 6))[np.arange(500) % 30] + rng.normal(size=(500, 6)) * 0.15
+    x[400:420] = x[3]
+    x *= 10.0 ** rng.choice([-200, 0, 200], 500)[:, None]
+    ids = rng.permutation(1000)[:500]
+    df = spark.createDataFrame([(int(k), v) for k, v in zip(ids, x.tolist())], "vec_id long, embedding array<double>")
+    unit = x / np.abs(x).max(axis=1, keepdims=True)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    low = ids.copy()
+    for _ in ids:
+        least = np.array([low[row].min() for row in near])
+        if (least == low).all():
+            break
+        low = least
+    found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vector_dedup.cosine_components(df).collect()}
+    assert found == {
+        int(k): (int(n) - 1, int(c), k == c) for k, n, c in zip(ids, near.sum(axis=1), low)
+    }
+
+
 def test_planted_passage_is_cut_from_the_later_document(spark):
     passage = ". ".join(f"Satz {k} hat genug verschiedene Wörter hier" for k in range(10)) + "."
     rows = [

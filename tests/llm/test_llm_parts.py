@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm import bestfit, curve_packing, decontamination, ngram_join, token_spans, toxicity, words
 from tallyloom.llm.components import connected_components
 from tallyloom.llm.tokens import encoder, vocabulary_paths
-from tallyloom.llm.vector_dedup import close_pairs
+from tallyloom.llm.vector_dedup import close_pairs, linked_rows, principal_axes, with_tiles
 
 
 @given(st.lists(st.text(alphabet="aAbB é漢 \t\n\x0b\x1c\x85\xa0", max_size=30), max_size=8))
@@ -203,6 +204,67 @@ def test_close_pairs_equal_all_pairs():
     assert set(zip(i.tolist(), j.tolist())) == set(zip(*map(list, np.nonzero(near[:300, 300:]))))
 
 
+def test_links_are_counted_as_they_are_found():
+    """Two tiles of near-equal vectors link every row with every other; their pairs are
+    never all held."""
+    rng = np.random.default_rng(1)
+    n = 1_500
+    x = np.ones((2 * n, 16)) + rng.normal(size=(2 * n, 16)) * 0.01
+    tile, copies = np.repeat([0, 1], n), rng.integers(1, 4, 2 * n)
+    tracemalloc.start()
+    links, roots = linked_rows(x, tile, 0, 1, copies, np.eye(16), 0.9)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (links[:n] == copies[n:].sum()).all() and (links[n:] == copies[:n].sum()).all()
+    assert not roots.any()
+    # The pairs alone, as two numbers each, are 36 MB; one block of rows is 12 MB.
+    assert peak < 36e6 * 1.5, peak
+
+
+def test_chains_across_blocks_have_one_root(monkeypatch):
+    monkeypatch.setattr("tallyloom.llm.vector_dedup.BLOCK", 3)
+    monkeypatch.setattr("tallyloom.llm.vector_dedup.PAIRS", 2)
+    turn = np.random.default_rng(2).permutation(41)
+    angle = np.where(turn < 20, turn, turn + 30) * 0.4
+    x = np.column_stack([np.cos(angle / 10), np.sin(angle / 10)])
+    links, roots = linked_rows(x, np.zeros(41, int), 0, 0, np.ones(41, int), np.eye(2), 0.999)
+    near = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ x.T >= 0.999
+    expected = np.arange(41)
+    for _ in range(41):
+        expected = np.array([expected[row].min() for row in near])
+    assert (roots == expected).all() and len(set(roots.tolist())) == 2
+    assert (links == near.sum(axis=1) - 1).all()
+
+
+@pytest.mark.parametrize("kind", ["clusters", "one place", "even"])
+def test_linked_vectors_meet_in_one_pair_of_tiles(spark, kind):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(12, 4))
+    if kind == "even":
+        x = rng.normal(size=(1200, 4))
+    else:
+        x = centres[np.arange(1200) % 12] + rng.normal(size=(1200, 4)) * 0.05
+    if kind == "one place":
+        # Most vectors at one place of the axis, more than fill a tile.
+        x[:700] = np.column_stack([np.ones(700), np.zeros(700), rng.normal(size=(700, 2))])
+    data = [(k, 1, v) for k, v in enumerate(x.tolist())]
+    reps = spark.createDataFrame(data, "id long, copies long, embedding array<double>").repartition(5)
+    axis = np.eye(4)[0] if kind == "one place" else principal_axes(reps, 4)[:, 0]
+    rows = {r.id: r for r in with_tiles(reps, axis, 0.9, 60).collect()}
+    assert len(rows) == 1200
+    sizes = collections.Counter(r.tile for r in rows.values())
+    assert len(sizes) == 20
+    if kind != "one place":
+        assert max(sizes.values()) <= 70
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for i, j in zip(*map(list, np.nonzero(unit @ unit.T >= 0.9))):
+        assert rows[j].tile in rows[i].near
+    assert all(r.tile in r.near for r in rows.values())
+    if kind == "clusters":
+        sent = sum(len(r.near) for r in rows.values())
+        assert sent < 0.5 * 1200 * 20
+
+
 def test_every_shared_window_has_a_common_fingerprint(spark):
     rng = random.Random(6)
     rows = []
