@@ -158,22 +158,17 @@ def with_tiles(reps: DataFrame, axis: np.ndarray, threshold: float, rows: int) -
     ``rows`` vectors. Those at one place of the axis that fill several tiles are dealt
     over them by their hash. Some 8 bytes a tile reach the driver.
     """
-    names = reps.columns
-    cells = F.array(*[F.lit(float(v)) for v in axis])
-    # Scaled first, as in _unit.
-    top = F.array_max(F.transform("embedding", lambda v: F.abs(v.cast("double"))))
-    placed = reps.withColumn("_top", top)
-    scaled = F.transform("embedding", lambda v: v.cast("double") / F.col("_top"))
-    placed = placed.withColumn("_scaled", scaled)
-
-    def added(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0.0), lambda total, v: total + v)
-
-    along = added(F.zip_with("_scaled", cells, lambda v, w: v * w))
-    norm = F.sqrt(added(F.transform("_scaled", lambda v: v * v)))
-    placed = written(
-        placed.select(*reps.columns, (along / norm).cast("float").cast("double").alias("_place")), "places"
-    )
+    names, d = reps.columns, len(axis)
+    schema = ", ".join(f"{name} {kind}" for name, kind in reps.dtypes)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = _unit(_matrix(pa.chunked_array([batch.column("embedding")]), d))
+                columns = [batch.column(n) for n in names]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(x @ axis)], [*names, "_place"])
+
+    placed = written(reps.mapInArrow(place, f"{schema}, _place double"), "places")
     count = placed.count()
     tiles = max(1, -(-count // rows))
     if tiles == 1:
@@ -200,7 +195,6 @@ def with_tiles(reps: DataFrame, axis: np.ndarray, threshold: float, rows: int) -
                 [*names, "tile", "_first", "_last"],
             )
 
-    schema = ", ".join(f"{name} {kind}" for name, kind in reps.dtypes)
     hashed = placed.withColumn("_hash", F.pmod(F.xxhash64("embedding"), F.lit(1 << 31)))
     dealt = hashed.mapInArrow(deal, f"{schema}, tile int, _first int, _last int")
     return dealt.select(*reps.columns, "tile", F.sequence("_first", "_last").alias("near"))
