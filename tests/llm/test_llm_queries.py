@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import math
+import re
 import zlib
 
 import numpy as np
@@ -11,7 +12,7 @@ import pytest
 
 import __spark_entry__ as contract
 from duck import assert_same, connect
-from tallyloom.llm import line_dedup, queries, toxicity
+from tallyloom.llm import line_dedup, queries, token_spans, toxicity
 from tallyloom.llm.bestfit import position_ids
 
 
@@ -93,6 +94,44 @@ def test_token_counts_add_up(spark, sf01, texts, ids_of):
         )
 
 
+@pytest.mark.parametrize("rule", token_spans.RULES)
+def test_tokens_are_attributed_by_the_offsets_of_the_library(spark, sf01, texts, rule):
+    """Sections by a pattern, spans by the vocabulary's own library, token by token. No
+    token of the texts as they are reaches into another line, so every other text has
+    its sentences set apart by blank lines."""
+    import public_tokenizers
+    from tokenizers import Tokenizer, processors
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.post_processor = processors.ByteLevel(trim_offsets=False)
+    given = {k: t.replace(". ", "\n\n\n \n") if k % 2 else t for k, t in texts.items()}
+    expected = {}
+    for k, text in given.items():
+        lines = [m.span() for m in re.finditer(r"[^\n]*\n|[^\n]+\Z", text)] or [(0, 0)]
+        tokens, crossing, at = [0] * len(lines), [0] * len(lines), 0
+        for a, b in tokenizer.encode(text, add_special_tokens=False).offsets:
+            while a >= lines[at][1]:
+                at += 1
+            to, reaches = at, b > lines[at][1]
+            if reaches and rule == "most":
+                parts = []
+                for n in range(at, len(lines)):
+                    part = text[max(a, lines[n][0]) : min(b, lines[n][1])]
+                    parts.append((-len(part.encode()), n))
+                    if lines[n][1] >= b:
+                        break
+                to = min(parts)[1]
+            tokens[to] += 1
+            crossing[to] += reaches
+        for n, (low, high) in enumerate(lines):
+            expected[k, n] = (low, high, tokens[n], crossing[n])
+    documents = spark.createDataFrame(list(given.items()), "doc_id long, text string")
+    rows = token_spans.token_counts(documents, rule=rule).collect()
+    found = {(r.doc_id, r.section): (r.start, r.end, r.n_tokens, r.n_crossing) for r in rows}
+    assert len(found) == len(rows) and found == expected
+    assert sum(r.n_crossing for r in rows) > 0
+
+
 def test_line_dedup_equals_a_loop(spark, sf01, texts):
     seen: set[str] = set()
     expected = {}
