@@ -33,6 +33,11 @@ RESERVE, RESERVE_SHARE = 4, 0.02
 # of tokens that may differ; signatures per bucket; shingles that one verification
 # task holds. They set the size of tasks and change no result.
 COUNTED, FLUSH, PER_BYTE, BUCKET, BIN = 1_000_000, 1_500_000, 0.68, 50_000, 400_000
+# A signature that no set looks up, but so many of those at hand have, goes into its
+# bucket once, whatever their number.
+FEW = 4
+# Cost of looking up an empty segment: a share of all sets has it, whatever their tokens.
+EMPTY = 1e12
 LARGEST = 1 << 40
 
 SIGNATURE_SCHEMA = (
@@ -101,16 +106,17 @@ def _costs(others: np.ndarray, ends: np.ndarray, counts: np.ndarray, kept: int):
     """Expected cost of looking up each segment, and the first ``kept`` of them up
     to one deletion. ``others`` is, for the tokens by segment, in how many other
     sets each occurs: a segment meets at most the sets of its rarest token, and
-    fewer the more tokens it has. An empty one meets more than any other."""
+    fewer the more tokens it has. An empty one meets more than any other, and so
+    does one of a single token up to its deletion."""
     filled = counts > 0
-    exactly = np.full(len(counts), float(others.max(initial=0)) + 2)
+    exactly = np.full(len(counts), EMPTY)
     exactly[filled] = np.minimum.reduceat(others, (ends - counts)[filled])
     exactly += 2.0 ** -counts.astype(float)
     nearly = np.full(kept, np.inf)
     for i in np.flatnonzero(filled[:kept]):
         rare = np.sort(others[ends[i] - counts[i] : ends[i]])
         c = len(rare)
-        second = float(rare[1]) if c > 1 else float(others.max()) + 2
+        second = float(rare[1]) if c > 1 else EMPTY
         nearly[i] = 2 * ((c - 1) * float(rare[0]) + second) + (1 + 2 * c) * 2.0 ** (1 - c)
     return exactly, nearly
 
@@ -134,7 +140,9 @@ def _band_keys(
         out.append(_keys(sums, np.arange(m), band, 0, exact))
         first = ends[kept - 1]
         owner = segment[order][:first]
-        out.append(_keys(sums[owner] - values[:first], owner, band, 1, 0))
+        # Without its only token a segment is empty, and none is looked up from there.
+        rest = counts[owner] > 1
+        out.append(_keys((sums[owner] - values[:first])[rest], owner[rest], band, 1, 0))
     else:
         chosen = np.flatnonzero(exact)
         out.append(_keys(sums[chosen], chosen, band, 0, 1))
@@ -190,6 +198,30 @@ def fold(keys: np.ndarray, records: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     )
 
 
+def gathered(
+    keys: np.ndarray, records: np.ndarray, few: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The signatures with those that are only indexed, and by ``few`` sets or more,
+    once each: under a node of its own instead of a set. Also the nodes and the sets
+    of each. A node follows from its signature, so all tasks give it the same one."""
+    order = np.lexsort((records, keys))
+    keys, records = keys[order], records[order]
+    new = np.append(True, (keys[1:] != keys[:-1]) | (records[1:] != records[:-1]))
+    keys, records = keys[new[: len(keys)]], records[new[: len(keys)]]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    sizes = np.diff(np.append(starts, len(keys)))
+    many = (sizes >= few) & (keys[starts] & np.uint64(1) == 0)
+    nodes = mix(keys[starts[many]] ^ seed(205)).view(np.int64)
+    members = [records[a : a + k] for a, k in zip(starts[many], sizes[many], strict=True)]
+    alone = ~np.repeat(many, sizes)
+    return (
+        np.concatenate([keys[alone], keys[starts[many]]]),
+        np.concatenate([records[alone], nodes]),
+        nodes,
+        members,
+    )
+
+
 def _digest(s: np.ndarray) -> tuple[int, int]:
     """128 bits of a set, as two signed longs."""
     size = np.uint64(len(s))
@@ -201,8 +233,9 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
 
 
 def _signature_rows(documents: DataFrame, n: int, bands: Bands, buckets: int) -> DataFrame:
-    """Rows of three kinds: 0, a document with its set's size and digest; 1, the
-    signatures of one bucket; 2, an edge between two sets (h1, h2)."""
+    """Rows of four kinds: 0, a document with its set's size and digest; 1, the
+    signatures of one bucket; 2, an edge between two sets (h1, h2); 3, the sets
+    (records) behind a node (h1)."""
     schema = pa.schema(
         [
             ("kind", pa.int32()),
@@ -228,6 +261,10 @@ def _signature_rows(documents: DataFrame, n: int, bands: Bands, buckets: int) ->
         edges, k, r = fold(np.concatenate(keys), np.concatenate(records))
         if len(edges):
             yield batch_of(2, len(edges), h1=edges[:, 0].copy(), h2=edges[:, 1].copy())
+        k, r, nodes, members = gathered(k, r, FEW)
+        for lo in range(0, len(nodes), 4096):
+            blobs = [x.tobytes() for x in members[lo : lo + 4096]]
+            yield batch_of(3, len(blobs), h1=nodes[lo : lo + 4096].copy(), records=blobs)
         bucket = ((k >> np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         k, r = k[order], r[order]
@@ -295,8 +332,13 @@ def _signature_rows(documents: DataFrame, n: int, bands: Bands, buckets: int) ->
 
 
 def _candidate_edges(signed: DataFrame) -> DataFrame:
-    """Edges (a, b) between sets that meet in a signature. A signature that many
-    sets share comes as one row per task; buckets are of bounded size."""
+    """Edges (a, b) between sets that meet in a signature, some of them by a node.
+
+    Of a signature that many sets share a bucket holds one row per task and fold
+    of its signatures if some set there looks it up, fewer than ``FEW`` if none
+    does. The sets behind a node are fetched, as plain rows, only where a set of
+    another fold looked its signature up.
+    """
 
     def meet(table: pa.Table) -> pa.Table:
         keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), dtype=np.uint32)
@@ -308,7 +350,20 @@ def _candidate_edges(signed: DataFrame) -> DataFrame:
     buckets = signed.where("kind = 1").select("bucket", "keys", "records")
     met = buckets.groupBy("bucket").applyInArrow(meet, "a long, b long")
     early = signed.where("kind = 2").select(F.col("h1").alias("a"), F.col("h2").alias("b"))
-    return met.union(early).distinct()
+    edges = written(met.union(early).distinct(), "candidates")
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, blob in zip(*(batch.column(k).to_pylist() for k in range(2)), strict=True):
+                sets = np.frombuffer(blob, dtype=np.int64)
+                yield pa.RecordBatch.from_pydict({"a": sets, "b": np.full(len(sets), node)})
+
+    behind = signed.where("kind = 3").select("h1", "records")
+    ends = edges.select(F.explode(F.array("a", "b")).alias("node"))
+    met_nodes = behind.select(F.col("h1").alias("node")).distinct().join(ends, "node", "left_semi")
+    met_nodes = written(met_nodes, "met-nodes")
+    behind = behind.join(met_nodes, F.col("h1") == F.col("node"), "left_semi")
+    return edges.union(written(behind.mapInArrow(unpack, "a long, b long"), "behind-nodes"))
 
 
 def link_sets(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -477,7 +532,7 @@ def jaccard_components(documents: DataFrame, n: int = N, percent: int = PERCENT)
     _signature_rows(documents, n, bands, buckets).write.option("compression", "zstd").parquet(path)
     signed = spark.read.schema(SIGNATURE_SCHEMA).parquet(path)
     rows = written(signed.where("kind = 0").select("doc_id", "n", "h1", "h2"), "digests")
-    candidates = written(_candidate_edges(signed), "candidates")
+    candidates = _candidate_edges(signed)
     # The largest table by far, and of no more use.
     drop_path(spark, path)
     sets = (

@@ -116,6 +116,47 @@ def test_jaccard_components_of_near_copies(spark, monkeypatch, n, percent):
     assert {r.doc_id: r.component_id for r in found} == expected
 
 
+def test_a_signature_of_many_sets_is_one_row_of_its_bucket(spark):
+    """Unlike sets of 7 shingles often have an empty segment, the same for all."""
+    bands = ngram_join.Bands(80)
+    largest = []
+    for count in (500, 4000):
+        texts = [(k, " ".join(f"w{k}x{i}" for i in range(11))) for k in range(count)]
+        df = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+        rows = ngram_join._signature_rows(df, 5, bands, 1).collect()
+        keys = np.concatenate([np.frombuffer(r.keys, np.uint32) for r in rows if r.kind == 1])
+        largest.append(np.unique(keys, return_counts=True)[1].max())
+    behind = [np.frombuffer(r.records, np.int64) for r in rows if r.kind == 3]
+    assert max(map(len, behind)) > 10
+    assert max(largest) < ngram_join.FEW
+
+
+def test_sets_behind_a_node_are_found_from_another_task(spark):
+    """One document looks up what many others only have."""
+    keys = np.array([8, 8, 8, 8, 8, 8, 20, 20, 31], dtype=np.uint64)
+    records = np.array([1, 2, 3, 4, 4, 4, 5, 6, 7], dtype=np.int64)
+    k, r, nodes, members = ngram_join.gathered(keys, records, 4)
+    assert [m.tolist() for m in members] == [[1, 2, 3, 4]]
+    assert sorted(zip(k.tolist(), r.tolist())) == sorted(
+        [(8, int(nodes[0])), (20, 5), (20, 6), (31, 7)]
+    )
+    none = np.empty(0, dtype=np.uint64)
+    assert ngram_join.gathered(none, none.astype(np.int64), 4)[3] == []
+    rows = [
+        (1, None, keys[:1].astype(np.uint32).tobytes(), nodes.tobytes()),
+        (3, int(nodes[0]), None, members[0].tobytes()),
+        (3, 77, None, np.array([90, 91], dtype=np.int64).tobytes()),
+    ]
+    looked_up = np.array([9], dtype=np.uint32).tobytes(), np.array([50], dtype=np.int64).tobytes()
+    signed = spark.createDataFrame(
+        [(kind, None, None, h1, None, 0, a, b) for kind, h1, a, b in [*rows, (1, None, *looked_up)]],
+        ngram_join.SIGNATURE_SCHEMA,
+    )
+    found = connected_components(ngram_join._candidate_edges(signed)).collect()
+    assert {1, 2, 3, 4, 50} <= {x.id for x in found} <= {1, 2, 3, 4, 50, int(nodes[0])}
+    assert len({x.component for x in found}) == 1
+
+
 @given(st.data())
 @settings(deadline=None, max_examples=200)
 def test_allocations_add_up(data):
