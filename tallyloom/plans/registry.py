@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.plans import analysis, generation, preparation, reports, timelines
+from tallyloom.plans import analysis, cubes, generation, preparation, reports, timelines
 from tallyloom.plans.query import Query, plain
 from tallyloom.session import sized_for
 
@@ -18,6 +18,7 @@ QUERIES: dict[str, Query] = {
     **reports.QUERIES,
     **generation.QUERIES,
     **timelines.QUERIES,
+    **cubes.QUERIES,
 }
 
 

@@ -20,6 +20,7 @@ SAME_TYPE = {
     "INTEGER": {"int"},
     "DOUBLE": {"double"},
     "VARCHAR": {"string"},
+    "BOOLEAN": {"boolean"},
 }
 
 
